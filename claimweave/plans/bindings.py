@@ -215,6 +215,8 @@ def with_bindings(sql: str) -> str:
         return sql
     parts = ", ".join(f"{name} as ({BINDINGS[name]})" for name in used)
     text = sql.strip()
+    if text.lower().startswith("with recursive "):
+        return f"with recursive {parts}, {text[15:]}"
     if text.lower().startswith("with "):
         return f"with {parts}, {text[5:]}"
     return f"with {parts} {text}"

@@ -14,7 +14,7 @@ from ..session import tune
 
 def nudge(digits: int) -> float:
     """Moves exact halves off the rounding edge, where the two engines may differ."""
-    return float(f"3e-{digits + 4}")
+    return float(f"3e{-(digits + 4)}")
 
 
 @dataclass
