@@ -27,9 +27,10 @@ class Settings:
     diagnosis_kind: str = "md"
     genetic_code: str = "99999"
     unknown_category: str = "hcup_unk"
+    impact_decimals: int = 4
     first_diag: int = 2
     last_diag: int = 25
-    hidden_label: str = "Hidden"
+    hidden_label: str = "Cannot Disclose"
     # Date windows; callers override them for their own data.
     claim_from: dt.date = dt.date(2015, 10, 1)
     claim_to: dt.date = dt.date(2020, 12, 31)

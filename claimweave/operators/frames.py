@@ -97,26 +97,34 @@ def drop_null_rows(df: DataFrame, how: str = "all", subset: Sequence[str] | None
     return df.na.drop(how=how, subset=list(subset) if subset else None)
 
 
-def demand_exceeds(adult_male: Column, adult_female: Column, children: Column, display: Column, counts: str = "_counts") -> Column:
-    """True when a rule needs more people of a kind than the group has, or is not for display."""
-    return (
-        (adult_male > F.col(f"{counts}.adult_male"))
-        | (adult_female > F.col(f"{counts}.adult_female"))
-        | (children > F.col(f"{counts}.children"))
-        | (display == "N")
-    )
+def exceeds_group(counts: str = "_counts") -> Column:
+    """True when a rule row needs more people of a kind than its group has, or is not for display."""
+    kinds = ("adult_male", "adult_female", "children")
+    short = [F.coalesce(F.col(k) > F.coalesce(F.col(f"{counts}.{k}"), F.lit(0)), F.lit(False)) for k in kinds]
+    return short[0] | short[1] | short[2] | F.coalesce(F.col("display_flag") == "N", F.lit(False))
+
+
+def with_people_counts(df: DataFrame, counts: DataFrame, by: Sequence[str] = (), output: str = "_counts") -> DataFrame:
+    """Attach the people counts of the row's group; without ``by``, of the one-row ``counts``."""
+    people = F.struct("adult_male", "adult_female", "children")
+    if not by:
+        return df.withColumn(output, counts.select(people.alias("c")).scalar())
+    side = counts.select(*[F.col(k).alias(f"_g_{k}") for k in by], people.alias(output))
+    match = F.lit(True)
+    for k in by:
+        match = match & (F.col(k) == F.col(f"_g_{k}"))
+    return df.join(side, match, "left").drop(*[f"_g_{k}" for k in by])
 
 
 def hide_small_cells(
-    df: DataFrame, counts: DataFrame, labels: Sequence[str], placeholder: str = DEFAULTS.hidden_label
+    df: DataFrame,
+    counts: DataFrame,
+    labels: Sequence[str],
+    by: Sequence[str] = (),
+    placeholder: object = DEFAULTS.hidden_label,
 ) -> DataFrame:
-    """Replace labels whose rule asks for more people than the one-row ``counts`` holds."""
-    people = counts.select(F.struct("adult_male", "adult_female", "children").alias("c"))
-    hidden = F.coalesce(
-        demand_exceeds(F.col("adult_male"), F.col("adult_female"), F.col("children"), F.col("display_flag")),
-        F.lit(False),
-    )
-    held = df.withColumn("_counts", people.scalar())
+    """Replace labels whose rule asks for more people than the group holds."""
+    held = with_people_counts(df, counts, by)
     return held.withColumns(
-        {c: F.when(hidden, F.lit(placeholder)).otherwise(F.col(c)) for c in labels}
+        {c: F.when(exceeds_group(), F.lit(placeholder)).otherwise(F.col(c)) for c in labels}
     ).drop("_counts")

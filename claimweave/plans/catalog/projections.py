@@ -354,8 +354,8 @@ def _(t):
        sex_cd = 'F' then 'F' else 'M' end as sex, floor(date_diff('day', birth_date, date '1998-01-01') / 365.25) as age
        from fx_census) x)
        select event, signal, case when adult_male > m or adult_female > f or children > c or display_flag = 'N'
-       then 'Hidden' else event end as event_label, case when adult_male > m or adult_female > f or children > c
-       or display_flag = 'N' then 'Hidden' else signal end as signal_label from fx_event_rules, n""",
+       then 'Cannot Disclose' else event end as event_label, case when adult_male > m or adult_female > f or children > c
+       or display_flag = 'N' then 'Cannot Disclose' else signal end as signal_label from fx_event_rules, n""",
 )
 def _(t):
     people = summaries.age_sex_counts(
