@@ -10,7 +10,7 @@ from .frames import exceeds_group, hide_small_cells, with_people_counts
 from .joins import attach, signal_join
 from .ordering import best_rows, ranked
 from .vendor import LINE, in_period
-from .windows import most_frequent, share_of_group
+from .windows import most_frequent, shares_of_group
 from ..config import DEFAULTS, Settings
 from ..functions import amounts, as_col, dates
 
@@ -193,9 +193,8 @@ def category_cost_weights(
     costs = stacked.agg(
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("cpt_allowed", "rev_allowed")]
     ).withColumn("combined_allowed", F.col("cpt_allowed") + F.col("rev_allowed"))
-    for c in ("cpt_allowed", "rev_allowed", "combined_allowed"):
-        costs = share_of_group(costs, keys, c, f"weight_{c}", eps)
-    return costs
+    names = ("cpt_allowed", "rev_allowed", "combined_allowed")
+    return shares_of_group(costs, keys, {f"weight_{c}": c for c in names}, eps)
 
 
 def condition_report(

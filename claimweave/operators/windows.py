@@ -6,7 +6,7 @@ over the group; ranks and cumulative curves go through the range-sorted ``runnin
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,9 +26,15 @@ def most_frequent(rows: DataFrame, by: Sequence[str], code: str, output: str = "
     return top.select(*by, F.col(code).alias(output))
 
 
+def shares_of_group(rows: DataFrame, by: Sequence[str], shares: Mapping[str, str], eps: float = 0.01) -> DataFrame:
+    """Share of each amount in its group total; ``shares`` maps output to amount column."""
+    held = with_group_totals(rows, by, {f"_t_{n}": F.sum(c) for n, c in shares.items()})
+    parts = {n: F.col(c) / (F.col(f"_t_{n}") + F.lit(eps)) for n, c in shares.items()}
+    return held.withColumns(parts).drop(*[f"_t_{n}" for n in shares])
+
+
 def share_of_group(rows: DataFrame, by: Sequence[str], amount: str, output: str, eps: float = 0.01) -> DataFrame:
-    held = with_group_totals(rows, by, {"_total": F.sum(amount)})
-    return held.withColumn(output, F.col(amount) / (F.col("_total") + F.lit(eps))).drop("_total")
+    return shares_of_group(rows, by, {output: amount}, eps)
 
 
 def prediction_share(rows: DataFrame, by: Sequence[str], prediction: str, output: str, eps: float = 0.01) -> DataFrame:
