@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .joins import attach
 from .ordering import quantile_values, with_grand_totals, with_group_totals
@@ -100,8 +100,9 @@ def code_tfidf(rows: DataFrame, keys: Sequence[str], code: str) -> DataFrame:
     df_counts = tf.groupBy(code).agg(F.count(F.lit(1)).alias("df")).withColumn("n", documents.scalar())
     idf = df_counts.select(code, (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     raw = tf.join(idf, code).withColumn("raw", F.col("tf") * F.col("idf"))
-    held = with_group_totals(raw, keys, {"_sq": F.sum(F.col("raw") * F.col("raw"))})
-    return held.select(*keys, code, (F.col("raw") / F.sqrt("_sq")).alias("tfidf"))
+    # A key has one row per code, so its rows are few.
+    square = F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys))
+    return raw.select(*keys, code, (F.col("raw") / F.sqrt(square)).alias("tfidf"))
 
 
 def code_tfidf_features(tfidf: DataFrame, keys: Sequence[str], code: str, vocabulary: Sequence[str], stem: str = "cpt") -> DataFrame:

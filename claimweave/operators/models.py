@@ -1,19 +1,26 @@
-"""Model training and scoring with Spark ML."""
+"""Model training and scoring with Spark ML.
+
+Training reads its rows many times, so the prepared rows are stored once (``cut_lineage``) and
+the steps that made them are not run again.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, RFormula, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .features import log_offset, rcs_terms, spline_knots, stacked_score
 from .reshape import dummy_code, levels_of
+from ..session import cut_lineage
 
 
 def assembled(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
@@ -28,7 +35,7 @@ def rate_calibration(
     unknown: str = "U",
 ) -> DataFrame:
     """Least squares on the training rows of known segments; returns all those rows with their rate."""
-    known = members.where(F.col(segment) != unknown)
+    known = cut_lineage(members.where(F.col(segment) != unknown))
     levels = levels_of(known, segment)
     coded = dummy_code(known, segment, levels, "bus_segment_", drop=False)
     features = [*numeric, *[f"bus_segment_{v}" for v in levels]]
@@ -42,7 +49,7 @@ def rate_calibration(
 
 def calibrated_offset(groups: DataFrame, features: Sequence[str], target: str, weight: str, output: str = "offset") -> DataFrame:
     """Weighted least squares, clipped at zero, on the log scale."""
-    rows = assembled(groups, features)
+    rows = cut_lineage(assembled(groups, features))
     model = LinearRegression(labelCol=target, weightCol=weight, predictionCol="_cal").fit(rows.where(F.col(target).isNotNull()))
     return model.transform(rows).withColumn(output, log_offset("_cal")).drop("features", "_cal")
 
@@ -55,7 +62,7 @@ def period_models(
 
     ``rows``: keys, setting, times, features, target. Returns keys with pred_<setting>_<period>.
     """
-    ready = assembled(rows, features)
+    ready = cut_lineage(assembled(rows, features))
     scored = None
     for s in settings:
         for p in periods:
@@ -68,7 +75,7 @@ def period_models(
             scored = one if scored is None else scored.unionByName(one)
     names = [f"pred_{s}_{p}" for s in settings for p in periods]
     if scored is None:
-        return rows.select(*keys).distinct().withColumns({n: F.lit(None).cast("double") for n in names})
+        return ready.select(*keys).distinct().withColumns({n: F.lit(None).cast("double") for n in names})
     return scored.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_pred"))).alias(n) for n in names])
 
 
@@ -78,7 +85,7 @@ STACKS = {"op_rx": ("xox", "xxr"), "op": ("xox",), "rx": ("xxr",), "med": ("ixx"
 
 def fit_stacked(df: DataFrame, target: str, trees: int = 20, depth: int = 3, seed: int = 0) -> DataFrame:
     """Stacked model per source pattern over the period predictions, and the score of the row's pattern."""
-    scored = df
+    scored = cut_lineage(df)
     for name, sources in STACKS.items():
         columns = [f"pred_{s}_{i}" for s in sources for i in (1, 2, 3)]
         ready = assembled(scored, columns)
@@ -187,7 +194,7 @@ def gbt_importance(
     sampling: float = 0.5, min_leaf: int = 1, seed: int = 0,
 ) -> DataFrame:
     """Importance of each feature in a boosted-tree model, largest first."""
-    rows = assembled(df.where(F.col(label).isNotNull()), features)
+    rows = cut_lineage(assembled(df.where(F.col(label).isNotNull()).select(label, *features), features).select(label, "features"))
     model = GBTRegressor(
         labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=sampling,
         minInstancesPerNode=min_leaf, seed=seed,
@@ -200,7 +207,7 @@ def forest_score(
     df: DataFrame, features: Sequence[str], label: str, trees: int = 50, depth: int = 8, top: int = 100, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Random forest: all rows with their prediction, and the most important features."""
-    rows = assembled(df, features)
+    rows = cut_lineage(assembled(df, features))
     model = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(
         rows.where(F.col(label).isNotNull())
     )
@@ -230,32 +237,62 @@ def pca_scores(
     return named.drop("_raw", "_scaled", "_pc"), list(model.stages[-1].explainedVariance.toArray())
 
 
-def spline_pca(df: DataFrame, key: str, columns: Sequence[str], rounds: int = 5, knots: int = 3) -> tuple[DataFrame, list[float]]:
-    """Replace each column by its spline fit to the first component, and repeat.
+def covariance(df: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample covariance of a vector column: numbers for columns only, not for rows."""
+    stats = df.select(Summarizer.metrics("mean", "std").summary(F.col(vector)).alias("s")).first().s
+    std = stats.std.toArray()
+    corr = np.nan_to_num(Correlation.corr(df, vector).first()[0].toArray())
+    np.fill_diagonal(corr, 1.0)
+    return stats.mean.toArray(), corr * np.outer(std, std)
+
+
+def _first_component(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Loadings of the first component on the scaled columns, and the variance shares."""
+    sd = np.sqrt(np.maximum(np.diag(cov), 0.0))
+    sd[sd == 0] = 1.0
+    values, vectors = np.linalg.eigh(cov / np.outer(sd, sd))
+    lead = vectors[:, -1]
+    lead = lead * np.sign(lead[np.argmax(np.abs(lead))])
+    shares = values[::-1] / values.sum()
+    return lead / sd, shares
+
+
+def spline_pca(
+    df: DataFrame, key: str, columns: Sequence[str], rounds: int = 5, knots: int = 3
+) -> tuple[DataFrame, list[float]]:
+    """Replace each column by its spline fit to the first component, take components again, repeat.
 
-    One least-squares fit per column and round; the spline basis is made of expressions.
+    Every fit and every component is linear in the spline terms, so all rounds follow from the
+    covariance of the terms: one pass over the rows gives it, one more gives the scores.
     """
     filled = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    places = {c: spline_knots(filled, c, knots) for c in columns}
-    scored, variance = pca_scores(filled, columns, 1)
+    terms, groups = [], []
+    for c in columns:
+        own = [F.col(c), *rcs_terms(c, spline_knots(filled, c, knots))]
+        groups.append(list(range(len(terms), len(terms) + len(own))))
+        terms += own
+    ready = cut_lineage(filled.withColumn("_terms", array_to_vector(F.array(*terms))))
+    mean, cov = covariance(ready, "_terms")
+    linear = [g[0] for g in groups]
+    start, shares = _first_component(cov[np.ix_(linear, linear)])
+    weight = np.zeros(len(terms))
+    weight[linear] = start
     for _ in range(rounds):
-        fits = {}
-        for c in columns:
-            basis = F.array(F.col(c), *rcs_terms(c, places[c]))
-            model = LinearRegression(featuresCol="_b", labelCol="pc1").fit(scored.withColumn("_b", array_to_vector(basis)))
-            terms = [F.col(c), *rcs_terms(c, places[c])]
-            total = F.lit(float(model.intercept))
-            for term, coef in zip(terms, model.coefficients):
-                total = total + term * F.lit(float(coef))
-            fits[f"fit_{c}"] = total
-        fitted = filled.withColumns(fits)
-        scored, variance = pca_scores(fitted, list(fits), min(4, len(columns)))
-    return scored.drop(*[f"fit_{c}" for c in columns]), variance
+        fits = np.zeros((len(columns), len(terms)))
+        for j, g in enumerate(groups):
+            fits[j, g] = np.linalg.pinv(cov[np.ix_(g, g)]) @ cov[g] @ weight
+        lead, shares = _first_component(fits @ cov @ fits.T)
+        weight = lead @ fits
+    parts = vector_to_array("_terms")
+    score = F.lit(float(-weight @ mean))
+    for i, w in enumerate(weight):
+        score = score + parts[i] * F.lit(float(w))
+    return ready.withColumn("pc1", score).drop("_terms"), [float(v) for v in shares]
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], clusters: int = 10, seed: int = 0) -> DataFrame:
     """Cluster id of each row on scaled columns, by repeated bisection."""
-    ready = assembled(df, columns, "_raw")
+    ready = cut_lineage(assembled(df, columns, "_raw"))
     model = Pipeline(
         stages=[
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),

@@ -194,7 +194,8 @@ def category_cost_weights(
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("cpt_allowed", "rev_allowed")]
     ).withColumn("combined_allowed", F.col("cpt_allowed") + F.col("rev_allowed"))
     names = ("cpt_allowed", "rev_allowed", "combined_allowed")
-    return shares_of_group(costs, keys, {f"weight_{c}": c for c in names}, eps)
+    # A key has one row per category, so its rows are few.
+    return shares_of_group(costs, keys, {f"weight_{c}": c for c in names}, eps, bounded=True)
 
 
 def condition_report(

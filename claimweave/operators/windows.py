@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ordering import best_rows, quantile_row, ranked, running_sums, with_group_totals
 from ..functions import as_col
@@ -26,11 +26,22 @@ def most_frequent(rows: DataFrame, by: Sequence[str], code: str, output: str = "
     return top.select(*by, F.col(code).alias(output))
 
 
-def shares_of_group(rows: DataFrame, by: Sequence[str], shares: Mapping[str, str], eps: float = 0.01) -> DataFrame:
-    """Share of each amount in its group total; ``shares`` maps output to amount column."""
-    held = with_group_totals(rows, by, {f"_t_{n}": F.sum(c) for n, c in shares.items()})
+def shares_of_group(
+    rows: DataFrame, by: Sequence[str], shares: Mapping[str, str], eps: float = 0.01, bounded: bool = False
+) -> DataFrame:
+    """Share of each amount in its group total; ``shares`` maps output to amount column.
+
+    ``bounded`` says that a group has few rows by construction (say, one per code of a
+    vocabulary); a plain window then saves the second read of ``rows``.
+    """
+    totals = {f"_t_{n}": F.sum(c) for n, c in shares.items()}
+    if bounded:
+        group = Window.partitionBy(*by)
+        held = rows.withColumns({n: total.over(group) for n, total in totals.items()})
+    else:
+        held = with_group_totals(rows, by, totals)
     parts = {n: F.col(c) / (F.col(f"_t_{n}") + F.lit(eps)) for n, c in shares.items()}
-    return held.withColumns(parts).drop(*[f"_t_{n}" for n in shares])
+    return held.withColumns(parts).drop(*totals)
 
 
 def share_of_group(rows: DataFrame, by: Sequence[str], amount: str, output: str, eps: float = 0.01) -> DataFrame:
