@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates
 from ..functions.codes import is_present
@@ -134,7 +134,6 @@ def signal_join(claims: DataFrame, rules: DataFrame, procedure: str, diagnosis:
 def source_match(
     submissions: DataFrame,
     events: DataFrame,
-    submission_id: str,
     keys: Mapping[str, str],
     submitted: str,
     event_day: str,
@@ -145,26 +144,34 @@ def source_match(
 ) -> DataFrame:
     """Per submission, a 0/1 flag for each source seen between ``longest`` and ``shortest`` days before it.
 
-    Events are reduced to distinct (key, day, source) first; matches are then reduced by the
-    submission id alone and its columns attached again, so wide rows do not meet in the shuffle.
+    The flags depend on the key and the day only. Both sides shrink to one row per key and day,
+    and a range window over the days of a key looks back: a key has at most as many rows as
+    there are days, and no submission is ever paired with its events.
     """
+    names = {r: f"_k_{l}" for l, r in keys.items()}
+    on = [f"_k_{l}" for l in keys]
     seen = events.select(
-        *[F.col(r).alias(f"_e_{r}") for r in keys.values()],
+        *[F.col(r).alias(n) for r, n in names.items()],
         F.col(event_day).alias("_day"),
-        F.col(source).alias("_source"),
-    ).distinct()
-    match = None
-    for l, r in keys.items():
-        eq = F.col(l) == F.col(f"_e_{r}")
-        match = eq if match is None else match & eq
-    match = match & F.col("_day").between(F.date_sub(submitted, longest), F.date_sub(submitted, shortest))
-    hits = (
-        submissions.select(submission_id, *keys, submitted)
-        .join(seen, match)
-        .groupBy(submission_id)
-        .agg(*[F.max(F.when(F.col("_source") == v, 1).otherwise(0)).alias(n) for n, v in sources.items()])
+        *[F.when(F.col(source) == v, 1).otherwise(0).alias(n) for n, v in sources.items()],
+        F.lit(0).alias("_asked"),
+    )
+    asked = submissions.select(
+        *[F.col(l).alias(f"_k_{l}") for l in keys],
+        F.col(submitted).alias("_day"),
+        *[F.lit(0).alias(n) for n in sources],
+        F.lit(1).alias("_asked"),
     )
-    return attach(submissions, hits, [submission_id]).na.fill(0, list(sources))
+    columns = [*sources, "_asked"]
+    days = asked.unionByName(seen).where(F.col("_day").isNotNull()).groupBy(*on, "_day")
+    daily = days.agg(*[F.max(c).alias(c) for c in columns])
+    back = Window.partitionBy(*on).orderBy(F.unix_date("_day")).rangeBetween(-longest, -shortest)
+    flags = daily.select(
+        *on, "_day", "_asked", *[F.coalesce(F.max(n).over(back), F.lit(0)).alias(n) for n in sources]
+    ).where(F.col("_asked") == 1)
+    return attach(
+        submissions, flags, {**{l: f"_k_{l}" for l in keys}, submitted: "_day"}, list(sources)
+    ).na.fill(0, list(sources))
 
 
 def new_keys_only(candidates: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from .joins import attach, drug_by_ndc_or_procedure, eligible_claims, exclude_va
 from .reshape import melt_codes
 from ..config import DEFAULTS, Settings
 from ..functions import amounts, codes, numbers
+from ..session import store_table
 
 PERSON = ("group_id", "member_id", "underwriting_date", "times")
 LINE = (*PERSON, "setting")
@@ -210,8 +211,11 @@ def score_inputs(
     diagnoses: Sequence[str],
     settings: Settings = DEFAULTS,
 ) -> dict[str, DataFrame]:
-    """All scoring inputs of a vendor: long medical codes, drug codes and group debits."""
-    lines = med_lines(med, groups, settings)
+    """All scoring inputs of a vendor: long medical codes, drug codes and group debits.
+
+    The lines inside the spine feed seven aggregates, so they are stored once.
+    """
+    lines = store_table(med_lines(med, groups, settings), "med_lines")
     procedures = priced_procedures(lines, lookups["ndc_price"], lookups["cpt_price"], lookups["drugs"])
     debited = procedures.where(F.col("debits").isNotNull())
     med_debit = debit_by_code(debited, debit_summary(debited, LINE), LINE, ["ndc_id", "proc_cd"])
@@ -224,7 +228,7 @@ def score_inputs(
             allowMissingColumns=True,
         )
     )
-    drug_rows = rx_lines(rx, groups, lookups["ndc_price"], settings)
+    drug_rows = store_table(rx_lines(rx, groups, lookups["ndc_price"], settings), "rx_lines")
     rx_debited = drug_rows.join(lookups["drugs"], "ndc_id")
     rx_debit = debit_by_code(rx_debited, debit_summary(rx_debited, PERSON, F.col("ag_allow")), PERSON, ["ndc_id"])
     eligible = eligible_claims(lines, lookups["eligible_cpt"])

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -184,21 +185,33 @@ def names_used(sql: str, candidates) -> list[str]:
     return [name for name in candidates if name in words]
 
 
+# Schemas seen so far, so that file footers are read once per table and process.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Inputs:
     """The driver tables of one folder and the claims tables bound to them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            path = f"{self.folder}/{name}.parquet"
+            reader = self.spark.read.schema(_SCHEMAS[path]) if path in _SCHEMAS else self.spark.read
+            self._frames[name] = reader.parquet(path)
+            _SCHEMAS[path] = self._frames[name].schema
+        return self._frames[name]
 
     def bound(self, name: str) -> DataFrame:
-        sql = BINDINGS[name]
-        for base in names_used(sql, BASE_TABLES):
-            self.table(base).createOrReplaceTempView(base)
-        return self.spark.sql(sql)
+        if name not in self._frames:
+            sql = BINDINGS[name]
+            for base in names_used(sql, BASE_TABLES):
+                self.table(base).createOrReplaceTempView(base)
+            self._frames[name] = self.spark.sql(sql)
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BINDINGS:

@@ -287,7 +287,7 @@ def _(t):
     orders = t.orders.withColumn("day", F.col("o_orderdate").cast("date"))
     submissions = orders.select("o_orderkey", "o_custkey", "day")
     matched = joins.source_match(
-        submissions, orders, "o_orderkey", {"o_custkey": "o_custkey"}, "day", "day", "o_orderpriority",
+        submissions, orders, {"o_custkey": "o_custkey"}, "day", "day", "o_orderpriority",
         {"urgent": "1-URGENT", "low": "5-LOW"},
     )
     return matched.drop("day")

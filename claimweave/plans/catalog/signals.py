@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from .aggregates import CENSUS, census
-from .vendor import DIAGS, DX_SQL, LINES, MED_DEBIT, RX_SQL, debited, lines, med_debit, procedures, rx_rows
+from .vendor import DIAGS, DX_SQL, LINES, MED_DEBIT, RX_SQL, debited, lines, procedures, rx_rows
 from ..fixture_settings import SETTINGS
 from ..registry import query
 from ...functions import dates
 from ...operators import signals, summaries, vendor, words
+from ...session import store_table
 
 MONTHLY = [f"l_{i}" for i in range(17)]
 GROUPS = """
@@ -251,8 +252,12 @@ WEIGHT_ROUND = {
 
 
 def weights(t):
-    revenue = vendor.priced_revenue(lines(t), t.fx_rev_price)
-    return signals.category_cost_weights(procedures(t), revenue, med_debit(t), t.fx_icd_map, DIAGS)
+    stored = store_table(lines(t), "med_lines")
+    rows = vendor.priced_procedures(stored, t.fx_ndc_price, t.fx_cpt_price, t.fx_drug_debits)
+    hit = rows.where("debits is not null")
+    debit = vendor.debit_by_code(hit, vendor.debit_summary(hit, vendor.LINE), vendor.LINE, ["ndc_id", "proc_cd"])
+    revenue = vendor.priced_revenue(stored, t.fx_rev_price)
+    return signals.category_cost_weights(rows, revenue, debit, t.fx_icd_map, DIAGS)
 
 
 @query("e08_category_cost_weights", f"with {LINES}, {MED_DEBIT}, {WEIGHTS} --main-- select * from cx", round=WEIGHT_ROUND)

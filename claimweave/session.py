@@ -67,3 +67,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives lost executors and is read back unchanged."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write an intermediate result once to the shared folder and read it back.
+
+    Used where several consumers would each run the same scans and joins again. Being columnar,
+    the stored table lets every consumer read only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
