@@ -84,11 +84,11 @@ def verticalize(
         _code_row(settings.procedure_kind, proc, codes.is_present(procedure) | codes.is_present(ndc)),
         *[_code_row(settings.diagnosis_kind, F.col(d), codes.is_present(d)) for d in diagnoses],
     ]
-    kept = F.filter(F.array(*rows), lambda r: r.isNotNull())
-    if distinct_codes:
-        kept = F.array_distinct(kept)
-    dropped = [c for c in (revenue, *diagnoses)]
-    return claims.withColumn("_code", F.explode(kept)).drop(*dropped).select("*", "_code.*").drop("_code")
+    codes_of_claim = F.array_distinct(F.array(*rows)) if distinct_codes else F.array(*rows)
+    # Exploding first and dropping absent codes as rows stays in generated code, which a filter
+    # over the array would leave.
+    long = claims.withColumn("_code", F.explode(codes_of_claim)).where(F.col("_code").isNotNull())
+    return long.drop(revenue, *diagnoses).select("*", "_code.*").drop("_code")
 
 
 def _diagnoses_of(lines: DataFrame, settings: Settings) -> list[str]:

@@ -10,6 +10,7 @@ from .joins import attach
 from .ordering import quantile_values, with_grand_totals, with_group_totals
 from .windows import prediction_share
 from ..functions import as_col, numbers
+from ..session import store_table
 
 SETTINGS_3 = ("ixx", "xox", "xxr")
 
@@ -93,9 +94,11 @@ def code_tfidf(rows: DataFrame, keys: Sequence[str], code: str) -> DataFrame:
     """TF-IDF weight of each code per key in long form: smooth idf, rows scaled to unit length.
 
     Counting replaces building code sentences, so a key with very many rows is summed on the
-    map side and never gathered.
+    map side and never gathered. The counts are far smaller than the rows and are read three
+    times, so they are stored.
     """
-    tf = rows.where(F.col(code).isNotNull()).groupBy(*keys, code).agg(F.count(F.lit(1)).alias("tf"))
+    counted = rows.where(F.col(code).isNotNull()).groupBy(*keys, code).agg(F.count(F.lit(1)).alias("tf"))
+    tf = store_table(counted, "code_counts")
     documents = tf.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n"))
     df_counts = tf.groupBy(code).agg(F.count(F.lit(1)).alias("df")).withColumn("n", documents.scalar())
     idf = df_counts.select(code, (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))

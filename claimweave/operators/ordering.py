@@ -35,20 +35,25 @@ def running_sums(
     order: Sequence[Column | str],
     sums: Mapping[str, Column | str],
     by: Sequence[str] = (),
+    totals: bool = False,
 ) -> DataFrame:
     """Add running totals (current row included) in ``order``, restarted per ``by``.
 
-    ``order`` should be a total order, or ties are broken arbitrarily (though once only).
+    ``order`` should be a total order, or ties are broken arbitrarily (though once only). With
+    ``totals``, each sum also comes as its group's total, under ``<name>_total``: the per-range
+    sums give it without another pass over the rows.
     """
     by = list(by)
     placed = sorted_ranges(df, [*by, *order])
     inputs = {name: F.col(c) if isinstance(c, str) else c for name, c in sums.items()}
-    totals = placed.groupBy(*by, _RANGE).agg(*[F.sum(c).alias(name) for name, c in inputs.items()])
+    per_range = placed.groupBy(*by, _RANGE).agg(*[F.sum(c).alias(name) for name, c in inputs.items()])
     before = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
+    whole = Window.partitionBy(*by)
+    starts = per_range.select(
         *[F.col(k).alias(f"_k_{k}") for k in by],
         F.col(_RANGE).alias("_k_range"),
         *[F.sum(name).over(before).alias(f"_b_{name}") for name in inputs],
+        *([F.sum(name).over(whole).alias(f"{name}_total") for name in inputs] if totals else []),
     )
     inside = Window.partitionBy(*by, _RANGE).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumns({f"_l_{name}": F.sum(c).over(inside) for name, c in inputs.items()})
@@ -60,6 +65,7 @@ def running_sums(
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.coalesce(f"_b_{n}", zero) + F.coalesce(f"_l_{n}", zero)).alias(n) for n in inputs],
+        *([F.coalesce(f"{n}_total", zero).alias(f"{n}_total") for n in inputs] if totals else []),
     )
 
 
@@ -101,8 +107,8 @@ def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
 def _positions(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """Distinct values with the last rank they hold and the group's row count."""
     counts = value_counts(df, column, by)
-    ranks = running_sums(counts, [column], {"_upto": "_n"}, by)
-    return with_group_totals(ranks, by, {"_total": F.sum("_n")})
+    ranks = running_sums(counts, [column], {"_upto": "_n"}, by, totals=True)
+    return ranks.withColumnRenamed("_upto_total", "_total")
 
 
 def _holds(rank: Column) -> Column:

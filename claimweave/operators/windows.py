@@ -64,14 +64,14 @@ def lorenz_curve(
     """
     w = as_col(weight).cast("double")
     steps = rows.groupBy(*by, prediction).agg(F.sum(w).alias("w"), F.sum(w * F.col(actual)).alias("wa"))
-    summed = running_sums(steps, [F.col(prediction).desc()], {"cum_w": "w", "cum_wa": "wa"}, by)
-    totals = with_group_totals(summed, by, {"_w": F.sum("w"), "_wa": F.sum("wa")})
-    return totals.withColumns(
+    summed = running_sums(steps, [F.col(prediction).desc()], {"cum_w": "w", "cum_wa": "wa"}, by, totals=True)
+    named = summed.withColumnsRenamed({"cum_w_total": "all_w", "cum_wa_total": "all_wa"})
+    return named.withColumns(
         {
-            "share_weight": F.try_divide(F.col("cum_w"), F.col("_w")),
-            "share_actual": F.try_divide(F.col("cum_wa"), F.col("_wa")),
+            "share_weight": F.try_divide(F.col("cum_w"), F.col("all_w")),
+            "share_actual": F.try_divide(F.col("cum_wa"), F.col("all_wa")),
         }
-    ).drop("_w", "_wa")
+    )
 
 
 def bin_edges(rows: DataFrame, column: str, bins: int) -> list[float]:
