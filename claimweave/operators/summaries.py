@@ -112,23 +112,23 @@ def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Columns are unpivoted, so one exact distributed quantile pass serves them all.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    basic = long.groupBy("column").agg(
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "variable", "value")
+    basic = long.groupBy("variable").agg(
         F.count("value").alias("n"),
         F.count_if(F.col("value").isNull()).alias("missing"),
         F.min("value").alias("min"),
         F.avg("value").alias("mean"),
         F.max("value").alias("max"),
     )
-    quartiles = quantile_row(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"])
-    return basic.join(quartiles, "column", "left")
+    quartiles = quantile_row(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["variable"])
+    return basic.join(quartiles, "variable", "left")
 
 
 def profile_categories(df: DataFrame, columns: Sequence[str], missing: str = "(missing)") -> DataFrame:
     """Counts of every value of the text columns, long form."""
     texts = [F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c) for c in columns]
-    long = df.select(*texts).unpivot([], list(columns), "column", "level")
-    return long.groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(*texts).unpivot([], list(columns), "variable", "level")
+    return long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_by_type(df: DataFrame) -> tuple[list[str], list[str]]:

@@ -102,15 +102,16 @@ def _(t):
 
 @query(
     "a21_sorted_codes",
-    """select member_id, coalesce(list_sort(list(distinct dx) filter (where dx is not null)), []) as dx_codes,
-       coalesce(list_sort(list(distinct proc_cd) filter (where proc_cd is not null)), []) as proc_codes from
+    """select member_id, coalesce(array_to_string(list_sort(list(distinct dx) filter (where dx is not null)), ','), '') as dx_codes,
+       coalesce(array_to_string(list_sort(list(distinct proc_cd) filter (where proc_cd is not null)), ','), '') as proc_codes from
        (select member_id, proc_cd, unnest([diag_1, diag_2, diag_3]) as dx from fx_vendor_med) x group by 1""",
 )
 def _(t):
     rows = t.fx_vendor_med.select(
         "member_id", F.array("diag_1", "diag_2", "diag_3").alias("dx"), F.array("proc_cd").alias("proc")
     )
-    return summaries.sorted_codes(rows, ["member_id"], {"dx_codes": "dx", "proc_codes": "proc"})
+    found = summaries.sorted_codes(rows, ["member_id"], {"dx_codes": "dx", "proc_codes": "proc"})
+    return found.select("member_id", *[F.array_join(c, ",").alias(c) for c in ("dx_codes", "proc_codes")])
 
 
 @query(
@@ -153,7 +154,7 @@ PROFILE = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
 @query(
     "a25_profile_numeric",
     " union all ".join(
-        f"""select '{c}' as "column", count({c}) as n, count(*) - count({c}) as missing, cast(min({c}) as double) as min,
+        f"""select '{c}' as variable, count({c}) as n, count(*) - count({c}) as missing, cast(min({c}) as double) as min,
         avg({c}) as mean, cast(max({c}) as double) as max, quantile_cont(cast({c} as double), 0.25) as q1,
         quantile_cont(cast({c} as double), 0.5) as median, quantile_cont(cast({c} as double), 0.75) as q3 from lineitem"""
         for c in PROFILE
@@ -166,7 +167,7 @@ def _(t):
 
 @query(
     "a25_profile_categories",
-    """select 'event_type' as "column", event_type as level, count(*) as n from events group by 2 union all
+    """select 'event_type' as variable, event_type as level, count(*) as n from events group by 2 union all
        select 'props', props, count(*) from events group by 2""",
 )
 def _(t):

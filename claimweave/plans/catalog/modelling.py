@@ -322,7 +322,7 @@ def _(t):
 
 @query(
     "f19_formula_from_table",
-    """select l_orderkey, l_linenumber, [l_quantity, l_tax] as features, l_extendedprice as label from lineitem""",
+    """select l_orderkey, l_linenumber, l_quantity as x1, l_tax as x2, l_extendedprice as label from lineitem""",
 )
 def _(t):
     attributes = t.lineitem.limit(1).select(
@@ -341,7 +341,9 @@ def _(t):
     ).select("a.*")
     formula = features.formula_from_table(attributes, "in_v1")
     coded = RFormula(formula=formula).fit(t.lineitem).transform(t.lineitem)
-    return coded.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"), "label")
+    return coded.select(
+        "l_orderkey", "l_linenumber", *[vector_to_array("features")[i].alias(f"x{i + 1}") for i in range(2)], "label"
+    )
 
 
 ALLOCATE = """

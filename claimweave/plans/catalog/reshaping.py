@@ -113,13 +113,13 @@ VOCABULARY = [f"D{i}" for i in range(0, 31, 3)]
 
 @query(
     "r10_multi_hot",
-    "select claim_id, member_id, ["
-    + ", ".join(f"cast(coalesce(list_contains(d, '{v}'), false) as int)" for v in VOCABULARY)
-    + "] as hot from (select *, [diag_1, diag_2, diag_3] as d from fx_vendor_med) x",
+    "select claim_id, member_id, "
+    + " || ".join(f"cast(cast(coalesce(list_contains(d, '{v}'), false) as int) as varchar)" for v in VOCABULARY)
+    + " as hot from (select *, [diag_1, diag_2, diag_3] as d from fx_vendor_med) x",
 )
 def _(t):
     hot = reshape.multi_hot(F.array("diag_1", "diag_2", "diag_3"), VOCABULARY)
-    return t.fx_vendor_med.select("claim_id", "member_id", hot.alias("hot"))
+    return t.fx_vendor_med.select("claim_id", "member_id", F.array_join(hot, "").alias("hot"))
 
 
 @query(
@@ -132,14 +132,14 @@ def _(t):
 
 @query(
     "r12_flatten_json",
-    """select event_id, cast(json_extract(props, '$.k') as bigint) as k, cast(json_extract(props, '$.k') as bigint) + 1 as "in.j"
+    """select event_id, cast(json_extract(props, '$.k') as bigint) as k, cast(json_extract(props, '$.k') as bigint) + 1 as in_j
        from events""",
 )
 def _(t):
     k = F.get_json_object("props", "$.k").cast("bigint")
     nested = F.to_json(F.struct(k.alias("k"), F.struct((k + 1).alias("j")).alias("in")))
     rows = t.events.select("event_id", nested.alias("doc"))
-    return reshape.flatten_json(rows, "doc", "k bigint, `in` struct<j: bigint>")
+    return reshape.flatten_json(rows, "doc", "k bigint, `in` struct<j: bigint>").withColumnRenamed("in.j", "in_j")
 
 
 @query(
