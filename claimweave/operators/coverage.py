@@ -91,6 +91,17 @@ def quoted_members(rows: DataFrame) -> DataFrame:
     )
 
 
+def group_counts(rows: DataFrame) -> DataFrame:
+    """Total and quoted members of each group and date in one pass over the rows."""
+    begun = F.coalesce(F.col("effective_date") >= F.col("cov_eff_date"), F.lit(False))
+    once = rows.select(GROUP, "effective_date", MEMBER, "age_gender_factor", begun.alias("_begun")).distinct()
+    return once.groupBy(GROUP, "effective_date").agg(
+        F.countDistinct(MEMBER).alias("total_members"),
+        F.count(F.when(F.col("_begun"), F.col(MEMBER))).alias("quoted_members"),
+        F.avg(F.when(F.col("_begun"), F.col("age_gender_factor"))).alias("quoted_pfm_rel"),
+    )
+
+
 def with_months(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     uw = dates.underwriting_date("effective_date", settings.underwriting_lead_months)
     return rows.withColumns(
@@ -121,9 +132,8 @@ def member_coverage(
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
     rows = age_factor_join(with_months(covered_rows(crosswalk, coverage, person, settings), settings), factors)
-    group = [GROUP, "effective_date"]
     long_enough = rows.where(F.col("cov_months_medical") > settings.min_covered_months)
-    counted = attach(attach(long_enough, total_members(rows), group), quoted_members(rows), group)
+    counted = attach(long_enough, group_counts(rows), [GROUP, "effective_date"])
     return counted.select(
         GROUP,
         MEMBER,

@@ -7,7 +7,8 @@ from .repricing import FACT_CODES, RX_PRICED, VERTICAL, priced
 from ..fixture_settings import SETTINGS
 from ..registry import query
 from ...functions import dates
-from ...operators import claims, coverage, targets, vendor
+from ...operators import claims, coverage, targets
+from ...session import store_table
 
 MED_KEYS = "src_rpt_cust_id, sdr_person_id, underwriting_date, times, med_sample, datatype, value"
 TIMES = """case when (year(underwriting_date) - year({d})) * 12 + month(underwriting_date) - month({d}) between 1 and 3 then 1
@@ -97,22 +98,22 @@ ALL = f"with {FACT_CODES}, {RX_PRICED}, {SPANS}, {TARGETS}, {COMBINED} --main--
 TARGET_ROUND = {"mbr_mth_ag_cmpl_allow": 4, "mbr_mth_allow_icob_amt": 4, "quoted_pfm_rel": 6}
 
 
-def med_target(t):
+def med_target(t, members=None):
+    members = member_rows(t) if members is None else members
     return claims.med_target(
-        t.fx_med_line_fact, t.fx_med_line, member_rows(t), t.fx_ndc_price, t.fx_rev_price, t.fx_cpt_price, SETTINGS
+        t.fx_med_line_fact, t.fx_med_line, members, t.fx_ndc_price, t.fx_rev_price, t.fx_cpt_price, SETTINGS
     )
 
 
-def rx_target(t):
-    return claims.rx_target(t.fx_rx_claims, member_rows(t), t.fx_ndc_price, SETTINGS)
+def rx_target(t, members=None):
+    members = member_rows(t) if members is None else members
+    return claims.rx_target(t.fx_rx_claims, members, t.fx_ndc_price, SETTINGS)
 
 
 def target(t):
-    members = member_rows(t)
-    med = claims.med_target(
-        t.fx_med_line_fact, t.fx_med_line, members, t.fx_ndc_price, t.fx_rev_price, t.fx_cpt_price, SETTINGS
-    )
-    return targets.target(med, claims.rx_target(t.fx_rx_claims, members, t.fx_ndc_price, SETTINGS))
+    # Both targets read the coverage, so it is computed once.
+    members = store_table(member_rows(t), "coverage")
+    return targets.target(med_target(t, members), rx_target(t, members))
 
 
 def info(t):
@@ -154,7 +155,8 @@ def _(t):
     round={**{c: 4 for c in targets.AMOUNTS}, "quoted_pfm_rel": 6},
 )
 def _(t):
-    return targets.combine_targets(med_target(t), rx_target(t))
+    members = store_table(member_rows(t), "coverage")
+    return targets.combine_targets(med_target(t, members), rx_target(t, members))
 
 
 @query("k08_target", ALL + "select * from tg", round=TARGET_ROUND)
