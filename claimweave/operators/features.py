@@ -102,7 +102,7 @@ def code_tfidf(rows: DataFrame, keys: Sequence[str], code: str) -> DataFrame:
     documents = tf.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n"))
     df_counts = tf.groupBy(code).agg(F.count(F.lit(1)).alias("df")).withColumn("n", documents.scalar())
     idf = df_counts.select(code, (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    raw = tf.join(idf, code).withColumn("raw", F.col("tf") * F.col("idf"))
+    raw = attach(tf, idf, [code]).withColumn("raw", F.col("tf") * F.col("idf"))
     # A key has one row per code, so its rows are few.
     square = F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys))
     return raw.select(*keys, code, (F.col("raw") / F.sqrt(square)).alias("tfidf"))

@@ -112,7 +112,7 @@ def with_people_counts(df: DataFrame, counts: DataFrame, by: Sequence[str] = (),
     side = counts.select(*[F.col(k).alias(f"_g_{k}") for k in by], people.alias(output))
     match = F.lit(True)
     for k in by:
-        match = match & (F.col(k) == F.col(f"_g_{k}"))
+        match = match & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
     return df.join(side, match, "left").drop(*[f"_g_{k}" for k in by])
 
 

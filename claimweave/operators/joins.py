@@ -3,6 +3,12 @@
 No side is broadcast by hint: Catalyst broadcasts a side whose measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` (AQE again at run time) and otherwise shuffles both
 and splits skewed keys.
+
+AQE splits a hot key only if both inputs of the join come straight from a shuffle. A side that
+was just aggregated on the join keys would skip its shuffle, and the other side's hot key would
+stay in one task. ``keyed_join`` therefore compares keys null-safely (with null keys removed from
+the looked-up side, so the result is that of plain equality): the join keys then differ from the
+aggregate's, the aggregated side, which is the smaller one, is shuffled again, and hot keys split.
 """
 
 from __future__ import annotations
@@ -15,16 +21,26 @@ from ..functions import dates
 from ..functions.codes import is_present
 
 
-def attach(left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Left lookup join that keeps the left columns and adds the right non-key ones."""
+def keyed_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner", extra: Column | None = None) -> DataFrame:
+    """Join on left key -> right key pairs; ``extra`` narrows the match, null keys never match."""
+    match, present = extra, None
+    for l, r in on.items():
+        equal = F.col(l).eqNullSafe(F.col(r))
+        match = equal if match is None else match & equal
+        known = F.col(r).isNotNull()
+        present = known if present is None else present & known
+    return left.join(right.where(present), match, how)
+
+
+def attach(
+    left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str], columns: Sequence[str] | None = None, how: str = "left"
+) -> DataFrame:
+    """Lookup join that keeps the left columns and adds the right non-key ones (or ``columns``)."""
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     extra = list(columns) if columns is not None else [c for c in right.columns if c not in pairs.values()]
-    side = right.select(*[F.col(r).alias(f"_r_{r}") for r in pairs.values()], *extra)
-    match = None
-    for l, r in pairs.items():
-        eq = F.col(l) == F.col(f"_r_{r}")
-        match = eq if match is None else match & eq
-    return left.join(side, match, "left").drop(*[f"_r_{r}" for r in pairs.values()])
+    names = {r: f"_r_{r}" for r in pairs.values()}
+    side = right.select(*[F.col(r).alias(n) for r, n in names.items()], *extra)
+    return keyed_join(left, side, {l: names[r] for l, r in pairs.items()}, how).drop(*names.values())
 
 
 def dated_join(
@@ -37,13 +53,11 @@ def dated_join(
     """
     names = {k: f"_k_{k}" for k in keys}
     side = coverage.withColumnsRenamed(names).withColumns({"_from": lower, "_to": upper})
-    match = None
-    for k in keys:
-        eq = F.col(k) == F.col(names[k])
-        match = eq if match is None else match & eq
+    inside = None
     for d in dates_between:
-        match = match & (F.col(d) >= F.col("_from")) & (F.col(d) < F.col("_to"))
-    return claims.join(side, match).drop(*names.values(), "_from", "_to")
+        one = (F.col(d) >= F.col("_from")) & (F.col(d) < F.col("_to"))
+        inside = one if inside is None else inside & one
+    return keyed_join(claims, side, names, extra=inside).drop(*names.values(), "_from", "_to")
 
 
 def lookback_filter(claims: DataFrame, coverage: DataFrame, keys: Sequence[str], date_columns: Sequence[str], months: int = 24) -> DataFrame:
@@ -75,8 +89,7 @@ def month_range_join(claims: DataFrame, groups: DataFrame, day: str, months: int
     Equal to joining the month spine by date range, but the month is computed from the date, so
     one equi join on the group replaces a join with every month.
     """
-    info = groups.withColumnRenamed("group_id", "_group")
-    near = claims.join(info, F.col("group_id") == F.col("_group")).drop("_group")
+    near = attach(claims, groups, ["group_id"], how="inner")
     index = dates.month_index("data_thru", day)
     return (
         near.withColumn("month_from_uw", index)
@@ -93,9 +106,9 @@ def two_edition_category(codes: DataFrame, code: str, first: DataFrame, second:
     """Category from the first edition, else from the second, else ``unknown``."""
     a = first.select(F.col("diag_cd").alias("_a"), F.col("prefx_map_id").alias("_cat_a"))
     b = second.select(F.col("diag_cd").alias("_b"), F.col("prefx_map_id").alias("_cat_b"))
+    first_found = keyed_join(codes, a, {code: "_a"}, "left")
     return (
-        codes.join(a, F.col(code) == F.col("_a"), "left")
-        .join(b, F.col(code) == F.col("_b"), "left")
+        keyed_join(first_found, b, {code: "_b"}, "left")
         .withColumn("category", F.coalesce("_cat_a", "_cat_b", F.lit(unknown)))
         .drop("_a", "_b", "_cat_a", "_cat_b")
     )
@@ -105,9 +118,7 @@ def drug_by_ndc_or_procedure(lines: DataFrame, drugs: DataFrame, ndc: str, proce
     """Drug attributes by drug code, each falling back to the procedure code's."""
     by_ndc = drugs.select(F.col("ndc_id").alias("_n"), *[F.col(c).alias(f"_n_{c}") for c in columns])
     by_proc = drugs.select(F.col("hcpcs").alias("_p"), *[F.col(c).alias(f"_p_{c}") for c in columns])
-    joined = lines.join(by_ndc, F.col(ndc) == F.col("_n"), "left").join(
-        by_proc, F.col(procedure) == F.col("_p"), "left"
-    )
+    joined = keyed_join(keyed_join(lines, by_ndc, {ndc: "_n"}, "left"), by_proc, {procedure: "_p"}, "left")
     helper = ["_n", "_p", *[f"_{s}_{c}" for s in "np" for c in columns]]
     return joined.withColumns({c: F.coalesce(f"_n_{c}", f"_p_{c}") for c in columns}).drop(*helper)
 
@@ -120,11 +131,10 @@ def signal_join(claims: DataFrame, rules: DataFrame, procedure: str, diagnosis:
     both = rules.where(F.col("cpt_signal").isNotNull() & F.col("dx_signal").isNotNull())
     dx_only = rules.where(F.col("cpt_signal").isNull())
     cpt_only = rules.where(F.col("dx_signal").isNull())
-    p, d = F.col(procedure), F.col(diagnosis)
     matched = (
-        claims.join(both, (p == F.col("cpt_signal")) & (d == F.col("dx_signal")))
-        .unionByName(claims.join(dx_only, d == F.col("dx_signal")))
-        .unionByName(claims.join(cpt_only, p == F.col("cpt_signal")))
+        keyed_join(claims, both, {procedure: "cpt_signal", diagnosis: "dx_signal"})
+        .unionByName(keyed_join(claims, dx_only, {diagnosis: "dx_signal"}))
+        .unionByName(keyed_join(claims, cpt_only, {procedure: "cpt_signal"}))
     )
     return matched.withColumns(
         {c: F.coalesce(c, F.lit("")) for c in ("cpt_signal", "dx_signal")}
@@ -180,15 +190,15 @@ def new_keys_only(candidates: DataFrame, known: DataFrame, keys: Sequence[str])
 
 def exclude_values(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
     out = listed.select(F.col(listed_column).alias("_x"))
-    return df.join(out, F.col(column) == F.col("_x"), "left_anti")
+    return keyed_join(df, out, {column: "_x"}, "left_anti")
 
 
 def eligible_claims(lines: DataFrame, eligible: DataFrame, claim: str = "claim_id", setting: str = "setting", procedure: str = "proc_cd") -> DataFrame:
     """Lines of claims that are inpatient, or outpatient with an eligible procedure."""
     listed = eligible.select(F.col("cpt").alias("_cpt")).where(is_present("_cpt"))
-    outpatient = lines.where(F.col(setting) == "o").join(listed, F.col(procedure) == F.col("_cpt"), "left_semi")
+    outpatient = keyed_join(lines.where(F.col(setting) == "o"), listed, {procedure: "_cpt"}, "left_semi")
     ids = lines.where(F.col(setting) == "i").select(claim).unionByName(outpatient.select(claim)).distinct()
-    return lines.join(ids, [claim], "left_semi")
+    return keyed_join(lines, ids.withColumnRenamed(claim, "_claim"), {claim: "_claim"}, "left_semi")
 
 
 def full_outer_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str], shared: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .frames import exceeds_group, hide_small_cells, with_people_counts
-from .joins import attach, signal_join
+from .joins import attach, keyed_join, signal_join
 from .ordering import best_rows, ranked
 from .vendor import LINE, in_period
 from .windows import most_frequent, shares_of_group
@@ -203,9 +203,8 @@ def condition_report(
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """High-cost conditions per group, ranked by their impact on the group score."""
-    joined = conditions.join(impacts, ["group_id", "member_id", "category"]).join(
-        groups.select("group_id", "pfm_calibrated"), "group_id"
-    )
+    priced = conditions.join(impacts, ["group_id", "member_id", "category"])
+    joined = attach(priced, groups, ["group_id"], ["pfm_calibrated"], how="inner")
     scored = joined.withColumn(
         "score_impact", F.round(F.col("impact") / F.col("pfm_calibrated"), settings.impact_decimals)
     )
@@ -226,7 +225,7 @@ def quarterly_specialty_med(rows: DataFrame, drugs: DataFrame) -> DataFrame:
     columns = ["drug_name", "debits", "minimum_charge"]
     by_ndc = drugs.select(F.col("ndc_id").alias("_n"), *[F.col(c).alias(f"n_{c}") for c in columns])
     by_proc = drugs.select(F.col("hcpcs").alias("_h"), *[F.col(c).alias(f"h_{c}") for c in columns])
-    joined = rows.join(by_proc, F.col("proc_cd") == F.col("_h"), "left").join(by_ndc, F.col("ndc_id") == F.col("_n"), "left")
+    joined = keyed_join(keyed_join(rows, by_proc, {"proc_cd": "_h"}, "left"), by_ndc, {"ndc_id": "_n"}, "left")
     hit = joined.where(F.coalesce("_n", "_h").isNotNull())
     n = F.count(F.lit(1))
     amount = amounts.vendor_line_amount(F.lit(None), "ndc_amt", "cpt_amt", "charged")

@@ -38,7 +38,7 @@ def customer_info(info: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def join_customer(targets: DataFrame, info: DataFrame) -> DataFrame:
-    return targets.join(info, [GROUP, "effective_date"]).drop("effective_date")
+    return attach(targets, info, [GROUP, "effective_date"], how="inner").drop("effective_date")
 
 
 def member_data(targets: DataFrame, info: DataFrame) -> DataFrame:

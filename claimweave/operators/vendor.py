@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .claims import unit_reprice
-from .joins import attach, drug_by_ndc_or_procedure, eligible_claims, exclude_values, month_range_join
+from .joins import attach, drug_by_ndc_or_procedure, eligible_claims, exclude_values, keyed_join, month_range_join
 from .reshape import melt_codes
 from ..config import DEFAULTS, Settings
 from ..functions import amounts, codes, numbers
@@ -31,7 +31,7 @@ def med_lines(claims: DataFrame, groups: DataFrame, settings: Settings = DEFAULT
 def _unit_amount(lines: DataFrame, prices: DataFrame, code: str, price_code: str, output: str, rule: str) -> DataFrame:
     """Signed unit reprice of vendor lines; the sign is that of the charge."""
     price = prices.select(F.col(price_code).alias("_code"), "allowed_per_unit", "serv_unit_cnt_max")
-    held = lines.join(price, F.col(code) == F.col("_code"), "left")
+    held = keyed_join(lines, price, {code: "_code"}, "left")
     pick = {"cap": F.least, "floor": F.greatest}[rule]
     amount = F.col("charge_sign") * F.col("allowed_per_unit") * pick("units", "serv_unit_cnt_max")
     return held.withColumn(output, amount).drop("_code", "allowed_per_unit", "serv_unit_cnt_max")
@@ -106,8 +106,8 @@ def _code_sums(units: str, charge: str) -> list[Column]:
 
 def procedure_codes(rows: DataFrame, debit: DataFrame, genetic: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     listed = genetic.select(F.col("symp").alias("_symp")).distinct()
-    held = attach(rows, debit, [*LINE, "proc_cd", "ndc_id"], ["debit_cost"]).join(
-        listed, F.col("proc_cd") == F.col("_symp"), "left"
+    held = keyed_join(
+        attach(rows, debit, [*LINE, "proc_cd", "ndc_id"], ["debit_cost"]), listed, {"proc_cd": "_symp"}, "left"
     )
     value = F.when(F.col("_symp").isNotNull(), settings.genetic_code).otherwise(F.col("proc_cd"))
     amount = amounts.vendor_line_amount("debit_cost", "ndc_amt", "cpt_amt", "charged")
@@ -200,7 +200,7 @@ def claimants(sources: Sequence[DataFrame], groups: DataFrame, history: int = DE
     people = sources[0].select("group_id", "member_id")
     for more in sources[1:]:
         people = people.unionByName(more.select("group_id", "member_id"))
-    return people.distinct().join(groups, "group_id").withColumn("hist_mths_avail", F.lit(history))
+    return attach(people.distinct(), groups, ["group_id"], how="inner").withColumn("hist_mths_avail", F.lit(history))
 
 
 def score_inputs(
