@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .frames import exceeds_group, hide_small_cells, with_people_counts
 from .joins import attach, keyed_join, signal_join
 from .ordering import best_rows, ranked
-from .vendor import LINE, in_period
+from .vendor import LINE
 from .windows import most_frequent, shares_of_group
 from ..config import DEFAULTS, Settings
 from ..functions import amounts, as_col, dates
@@ -113,16 +113,14 @@ def drug_report(
     impact = held.groupBy(*keys, "plan_yr_dollar").agg(F.max(F.when(recent, ratio)).alias("impact"))
     rules = drugs.groupBy("drug_name").agg(
         *[F.max(c).alias(c) for c in ("adult_male", "adult_female", "children")],
-        F.max(F.when(F.col("display_flag") == "N", "N").otherwise("Y")).alias("_y"),
         F.count_if(F.col("display_flag") == "N").alias("_hidden"),
     )
-    rules = rules.withColumn("display_flag", F.when(F.col("_hidden") > 0, "N").otherwise("Y")).drop("_y", "_hidden")
+    rules = rules.withColumn("display_flag", F.when(F.col("_hidden") > 0, "N").otherwise("Y")).drop("_hidden")
     joined = impact.join(drug_periods(rx, med), keys).join(rules, "drug_name")
     labelled = hide_small_cells(joined.withColumn("drug_label", F.col("drug_name")), counts, ["drug_label"], ["group_id"])
     kept = labelled.where((F.col("plan_yr_dollar") >= 1000) | (F.col("impact") >= 0.01))
-    text = F.coalesce(F.col("impact").cast("string"), F.lit("Lower/Not Detected Recently"))
     return kept.select(*keys, "drug_label", "last_detected", "first_detected", "plan_yr_dollar", "impact",
-                       F.when(F.col("impact").isNull(), text).alias("impact_note"))
+                       F.when(F.col("impact").isNull(), "Lower/Not Detected Recently").alias("impact_note"))
 
 
 def dated_categories(lines: DataFrame, icd_map: DataFrame, diagnoses: Sequence[str]) -> DataFrame:
@@ -176,7 +174,7 @@ def category_cost_weights(
     summed before the join, so lines and codes are never paired.
     """
     keys = list(LINE)
-    per_key = debit.groupBy(*keys).agg(F.sum("debit_cost").alias("_debit"), F.count(F.lit(1)).alias("_codes"))
+    per_key = debit.groupBy(*keys).agg(F.sum("debit_cost").alias("_debit"))
     held = attach(procedures, per_key, keys, ["_debit"])
     cost = amounts.vendor_line_amount("_debit", "ndc_amt", "cpt_amt", "charged")
 

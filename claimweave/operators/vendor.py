@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .claims import unit_reprice
 from .joins import attach, drug_by_ndc_or_procedure, eligible_claims, exclude_values, keyed_join, month_range_join
 from .reshape import melt_codes
 from ..config import DEFAULTS, Settings

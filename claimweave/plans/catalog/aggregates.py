@@ -1,7 +1,5 @@
 """Summaries, counts and profiles."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from ..registry import query

@@ -1,15 +1,11 @@
 """Joins."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from ..fixture_settings import SETTINGS
 from ..registry import query
-from ...operators import claims, coverage, joins, ordering, targets, vendor
-from ...functions import amounts, codes, dates
-
-LOOKBACK = """date_diff('day', serv_from_date, underwriting_date) > 0"""
+from ...operators import claims, coverage, joins
+from ...functions import codes
 
 # Eligible member rows per account and effective date; shared by the coverage and claims checks.
 SPANS = """

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ..fixture_settings import SETTINGS
 from ..registry import query
 from ...functions import dates
 from ...operators import reports
@@ -92,9 +91,6 @@ def _(t):
     return reports.add_results(second.withColumn("run", F.lit("b")), path)
 
 
-SCORE_KEYS = "group_id, member_id"
-
-
 @query(
     "o08_stack_by_key",
     """select o_custkey, sum(case when o_orderstatus = 'F' then o_totalprice end) as preds_f,

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..registry import query
-from ...functions import amounts, codes, dates, numbers
-from ...operators import claims, frames, reshape, summaries
+from ...functions import codes, dates, numbers
+from ...operators import claims, frames, summaries
 
 
 @query(

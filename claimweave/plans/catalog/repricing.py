@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..registry import query
-from ...functions import amounts, codes
-from ...operators import claims, vendor
+from ...functions import amounts
+from ...operators import claims
 
 FACT_CODES = """
     fc as (select f.*, l.ndc_id, l.diag_cd2, l.diag_cd3 from fx_med_line_fact f left join fx_med_line l

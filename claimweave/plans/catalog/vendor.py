@@ -1,14 +1,11 @@
 """Vendor files."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from .joins import SPINE
 from ..fixture_settings import SETTINGS
 from ..registry import query
-from ...functions import dates
-from ...operators import claims, joins, ordering, reshape, summaries, vendor
+from ...operators import joins, ordering, reshape, summaries, vendor
 
 DIAGS = ["diag_1", "diag_2", "diag_3"]
 

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..registry import query
-from ...functions import dates
 from ...operators import windows
 
 LONG_DX = """
@@ -68,14 +67,10 @@ def _(t):
     round={"pred": 4, "share_weight": 8, "share_actual": 8},
 )
 def _(t):
-    curve = windows.lorenz_curve(_exact(t), "pred", "actual", "weight", ["partition_name"])
+    curve = windows.lorenz_curve(t.fx_scored, "pred", "actual", "weight", ["partition_name"])
     return curve.select("partition_name", "pred", "share_weight", "share_actual")
 
 
-def _exact(t):
-    return t.fx_scored
-
-
 @query(
     "w06_quantile_bins",
     """with n as (select o_totalprice as x, row_number() over (order by o_totalprice) as r, count(*) over () as n from orders),
