@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import language, packing, privacy, quality, secrets, wordpiece
+from . import fingerprints, language, packing, privacy, quality, secrets, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def query(name: str, check: str | None = None):
     return register
 
 
+@query("op1_order_minhash")
+def _fingerprints(spark, folder):
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 @query("op2_quality_lines")
 def _quality(spark, folder):
     return quality.classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from array import array
 from functools import partial
 
 import numpy as np
@@ -11,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
-from .texts import text_rows
+from .texts import chunks, joined, text_rows, words
 
 CAPACITY = 2048
 END_ID = 0
@@ -21,7 +22,7 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 5
 GENERATIONS = 8
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 CACHED_BYTES = 48
 
 _ENCODERS: dict[str, "WordEncoder"] = {}
@@ -30,8 +31,8 @@ _ENCODERS: dict[str, "WordEncoder"] = {}
 class WordEncoder:
     """Ids of a text, word by word.
 
-    The tokenizer never joins characters over white space, so the ids of a text are those of its words.
-    The words met most recently are kept, up to a fixed number.
+    The tokenizer lowers letters and never joins characters over white space, nor a letter with a stop or comma,
+    so the ids of a text are those of its lower-case words. Words met are kept, up to a fixed number.
     """
 
     def __init__(self, path: str):
@@ -39,21 +40,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(missing, found)}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = {c: self.ids([bytes([c])])[0] for c in b".,"}
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def ids_of_letters(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters only are read as one text: each ends with a token that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(cuts) != len(words):
+            return self.ids(words)
+        return [ids[a:b].tobytes() for a, b in zip([0, *cuts[:-1]], cuts)]
+
+    def learn(self, missing: list[bytes]) -> None:
+        stems = {w: w[:-1] for w in missing if w[-1] in self.marks and w[-2:-1].isalpha()}
+        wanted = {stems.get(w, w) for w in missing}.difference(self.known)
+        plain = [w for w in wanted if w.decode().isalpha()]
+        other = list(wanted.difference(plain))
+        for part, coded in ((plain, self.ids_of_letters), (other, self.ids)):
+            if part:
+                self.known.update(zip(part, coded(part)))
+        for w, stem in stems.items():
+            self.known[w] = self.known[stem] + self.marks[w[-1]]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text. Equal words of the texts are looked up once."""
         if len(self.known) > CACHED_WORDS:
             self.known = {}
-        parts = [t.split() for t in texts]
-        known = self.known
-        new = {w for p in parts for w in p if w not in known}
-        fresh = self.learn(list(new))
-        known.update((w, v) for w, v in fresh.items() if len(w) <= CACHED_BYTES)
-        look = {**known, **fresh} if any(len(w) > CACHED_BYTES for w in fresh) else known
-        return [b"".join(map(look.__getitem__, p)) for p in parts]
+        # The strings of special tokens are lower case and begin with these two characters: such texts stay as they are.
+        data, starts = joined([t if b"<|" in t else t.lower() for t in texts])
+        at, lengths, hashes = words(data)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        held = data.tobytes()
+        keys = [held[a : a + n] for a, n in zip(at[first].tolist(), lengths[first].tolist())]
+        if missing := [w for w in keys if w not in self.known]:
+            self.learn(missing)
+        coded = [self.known[w] for w in keys]
+        for w in missing:
+            if len(w) > CACHED_BYTES:
+                del self.known[w]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        each = size[which]
+        flat, offset, done = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(size) - size, np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(offset[which] - done[:-1], each) + np.arange(done[-1])]
+        bounds = done[np.searchsorted(at, starts)]
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def encoder(name: str) -> WordEncoder:
@@ -71,17 +107,16 @@ PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 l
 
 
 def _cut(batches, name: str, capacity: int, end_id: int):
-    coder, end = encoder(name), np.array([end_id], "<u4").tobytes()
+    coder, end = encoder(name), np.array([end_id], "<u4")
     for pdf in batches:
         texts = [t.encode() for t in pdf["text"]]
-        out = []
-        for at in range(0, len(texts), 500):
-            rows = zip(pdf["doc_id"].iloc[at : at + 500], pdf["row"].iloc[at : at + 500], coder.encode(texts[at : at + 500]))
-            for doc, row, ids in rows:
-                ids += end
-                for k, lo in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[lo : lo + 4 * capacity]
-                    out.append((doc, row, k, lo // 4, len(part) // 4, zlib.crc32(part)))
+        docs, rows, out = pdf["doc_id"].tolist(), pdf["row"].tolist(), []
+        for lo, hi in chunks(texts):
+            for i, ids in enumerate(coder.encode(texts[lo:hi]), lo):
+                ids = np.concatenate([ids, end])
+                for k, start in enumerate(range(0, len(ids), capacity)):
+                    part = ids[start : start + capacity]
+                    out.append((docs[i], rows[i], k, start, len(part), zlib.crc32(part)))
         yield pd.DataFrame(out, columns=["doc_id", "row", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
 

@@ -47,7 +47,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     counts = np.empty((len(size), 8), np.float64)
     for k in range(8):
         counts[:, k] = np.add.reduceat((kind == k).astype(np.int32), begins)
-    at, hashes = words(data)
+    at, _, hashes = words(data)
     line = np.searchsorted(begins, at, side="right") - 1
     n_words = np.bincount(line, minlength=len(size))
     same = np.zeros(len(at), bool)

@@ -57,16 +57,16 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join(texts) + b"\n", np.uint8), starts
 
 
-def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each run of bytes without white space starts, and a 64-bit hash of it."""
+def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each run of bytes without white space starts, its length and a 64-bit hash of it."""
     solid = ~SPACE[data]
     edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return starts, np.empty(0, np.uint64)
+        return starts, starts, np.empty(0, np.uint64)
     lengths = ends - starts
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     place = np.arange(lengths.sum()) - np.repeat(first, lengths)
     codes = BYTE_CODE[data[solid]] * PLACE_CODE[place & 0xFFFF]
     codes ^= codes >> np.uint64(32)
-    return starts, mix(np.add.reduceat(codes, first) + lengths.astype(np.uint64))
+    return starts, lengths, mix(np.add.reduceat(codes, first) + lengths.astype(np.uint64))
