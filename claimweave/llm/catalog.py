@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import fingerprints, language, packing, privacy, quality, secrets, wordpiece
+from . import fingerprints, jaccard, language, packing, privacy, quality, secrets, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def _secrets(spark, folder):
     return secrets.scan_secrets(table(spark, folder, "documents"))
 
 
+@query("op4_ngram_jaccard")
+def _jaccard(spark, folder):
+    return jaccard.near_groups(table(spark, folder, "documents"), width=4, percent=85)
+
+
 @query("op7_token_counts")
 def _tokens(spark, folder):
     return wordpiece.count_tokens(table(spark, folder, "documents"))
