@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import fingerprints, jaccard, language, packing, privacy, quality, secrets, wordpiece
+from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, secrets, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def _jaccard(spark, folder):
     return jaccard.near_groups(table(spark, folder, "documents"), width=4, percent=85)
 
 
+@query("op5_decontamination")
+def _passages(spark, folder):
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op7_token_counts")
 def _tokens(spark, folder):
     return wordpiece.count_tokens(table(spark, folder, "documents"))
