@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, secrets, wordpiece
+from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, secrets, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def _passages(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op6_repeated_strings")
+def _repeats(spark, folder):
+    return repeats.digest(repeats.remove_repeats(table(spark, folder, "documents"), first_stays=False))
+
+
 @query("op7_token_counts")
 def _tokens(spark, folder):
     return wordpiece.count_tokens(table(spark, folder, "documents"))
