@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import LOWER, chunks, joined, mix, text_rows, words
+from .texts import LOWER, NO_ID, chunks, joined, mix, text_rows, with_null_ids, words
 
 RATE = 0.2
 RECALL = 0.995
@@ -175,14 +175,14 @@ def _find(batches, block: Benchmark):
         for lo, hi in chunks(texts):
             for t, item, edits, word in block.passages(texts[lo:hi]):
                 out.append((docs.iloc[lo + t], rows.iloc[lo + t], block.ids[item], edits, word))
-        yield pd.DataFrame(out, columns=["doc_id", "row", "item_id", "edits", "word"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+        yield pd.DataFrame(out, columns=["doc_id", "row", "item_id", "edits", "word"])
 
 
 def item_blocks(items: DataFrame, size: int):
     """The benchmark's rows, ``size`` at a time; null text is empty, and empty items are nowhere found."""
     ids, texts = [], []
     for r in items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).orderBy("item_id", "text").toLocalIterator():
-        ids.append(r["item_id"])
+        ids.append(NO_ID if r["item_id"] is None else r["item_id"])
         texts.append(r["text"].encode())
         if len(ids) == size:
             yield ids, texts
@@ -205,7 +205,7 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE, recall:
         found.append(docs.select("doc_id", "row", "text").mapInPandas(lambda b, held=held: _find(b, held), schema))
     if not found:
         return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found).withColumn("item_id", F.nullif(F.col("item_id"), F.lit(NO_ID)))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: float = RECALL) -> DataFrame:
@@ -214,4 +214,4 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE, recall:
     Null text is empty. Repeated rows and null ids are reported as rows of their own.
     """
     rows = text_rows(docs).withColumn("row", F.monotonically_increasing_id())
-    return find_passages(rows, items, rate, recall).drop("row")
+    return with_null_ids(find_passages(rows, items, rate, recall)).drop("row")

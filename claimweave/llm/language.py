@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import chunks, text_rows
+from .texts import chunks, text_rows, with_null_ids
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -148,7 +148,7 @@ def predict_language(docs: DataFrame, net: ByteNet | None, window: int = WINDOW)
     The windows' mean log chances decide; ties go to the first language by name. Text without a letter is ``und``
     with score 0, and so is all text where there was nothing to learn from.
     """
-    return docs.mapInPandas(lambda b: _predict(b, net, window), "doc_id long, held_out boolean, lang_pred string, score double")
+    return with_null_ids(docs.mapInPandas(lambda b: _predict(b, net, window), "doc_id long, held_out boolean, lang_pred string, score double"))
 
 
 def identify_languages(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
-from .texts import chunks, joined, text_rows, words
+from .texts import chunks, joined, text_rows, with_null_ids, words
 
 CAPACITY = 2048
 END_ID = 0
@@ -117,7 +117,7 @@ def _cut(batches, name: str, capacity: int, end_id: int):
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     out.append((docs[i], rows[i], k, start, len(part), zlib.crc32(part)))
-        yield pd.DataFrame(out, columns=["doc_id", "row", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -127,7 +127,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CA
     apart by ``row``. ``tokenizer`` is a file name of the public set or a path.
     """
     rows = text_rows(docs).withColumn("row", F.monotonically_increasing_id())
-    return rows.mapInPandas(partial(_cut, name=tokenizer, capacity=capacity, end_id=end_id), PIECES)
+    return with_null_ids(rows.mapInPandas(partial(_cut, name=tokenizer, capacity=capacity, end_id=end_id), PIECES))
 
 
 class Bins:

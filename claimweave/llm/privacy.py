@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
 from .secrets import signed
-from .texts import text_rows
+from .texts import NO_ID, text_rows, with_null_ids
 
 WINDOW = 80  # characters on either side of an entity whose words are judged
 DISCLOSURE = 0.95  # share of an entity's information that a term may give away
@@ -107,7 +107,7 @@ def _scan(batches, window: int):
             counts = [sum(s[0] == k for s in spans) for k in range(4)]
             out.append((r.row, r.doc_id, *counts, hashlib.sha256(said.encode()).hexdigest(), said, near))
         names = ["row", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"]
-        yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=names)
 
 
 def _count_words(batches, most: int):
@@ -164,7 +164,7 @@ def personal_data(docs: DataFrame, window: int = WINDOW, disclosure: float = DIS
     """The digest of ``find_personal`` for each document; repeated rows and null ids are rows of their own."""
     rows = text_rows(docs).withColumn("row", F.monotonically_increasing_id())
     kept = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
-    return find_personal(rows, window, disclosure, min_docs).select(*kept)
+    return with_null_ids(find_personal(rows, window, disclosure, min_docs).select(*kept))
 
 
 def _mask(batches):
@@ -187,7 +187,7 @@ def sanitise(docs: DataFrame, window: int = WINDOW, disclosure: float = DISCLOSU
     Overlapping spans are masked together under the kind of the first. ``n_chars`` follows the text where given.
     """
     keyed = store_table(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
-    rows = keyed.select(F.col("__row").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = keyed.select(F.col("__row").alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spans = find_personal(rows, window, disclosure, min_docs).where("spans <> ''").select("row", "spans")
     masked = rows.join(spans, "row").select("row", "text", "spans").mapInPandas(_mask, "row long, masked string")
     out = keyed.join(masked.withColumnRenamed("row", "__row"), "__row", "left")

@@ -218,19 +218,17 @@ def fit_quality(docs: DataFrame, most: int = TRAIN_DOCS, chars: int = TRAIN_CHAR
     return train_quality([t.encode() for t in seen["text"]], (seen["quality"] > 0).to_numpy(int))
 
 
-def _score(batches, model: QualityModel | None):
-    for pdf in batches:
-        texts = [t.encode() for t in pdf["text"]]
-        score = np.full(len(texts), 0.5)
-        for lo, hi in chunks(texts) if model else ():
-            score[lo:hi] = model.score(texts[lo:hi])
-        yield pdf.drop(columns="text").assign(score=score)
+def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
+    """Adds ``score``, the chance of good quality of ``text``; 0.5 where nothing could be learnt. Null text is empty."""
 
+    def score(texts: pd.Series) -> pd.Series:
+        held = [t.encode() for t in texts]
+        found = np.full(len(held), 0.5)
+        for lo, hi in chunks(held) if model else ():
+            found[lo:hi] = model.score(held[lo:hi])
+        return pd.Series(found)
 
-def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """Adds ``score``, the chance of good quality, in place of ``text``; 0.5 where nothing could be learnt."""
-    kept = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c != "text")
-    return docs.mapInPandas(lambda b: _score(b, model), f"{kept}, score double")
+    return docs.withColumn("score", F.pandas_udf(score, "double")(F.coalesce("text", F.lit(""))))
 
 
 def learned_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> QualityModel | None:
@@ -248,6 +246,5 @@ def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRE
     """
     model = learned_quality(docs, labels, folds, held)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
-    rows = text_rows(docs, F.coalesce(fold == held, F.lit(False)).alias("held_out"))
-    scored = score_quality(rows, model)
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    rows = docs.select("doc_id", "text", F.coalesce(fold == held, F.lit(False)).alias("held_out"))
+    return score_quality(rows, model).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
-from .texts import BYTE_CODE, mix
+from .texts import BYTE_CODE, mix, text_rows, with_null_ids
 
 LENGTH = 400
 GRAM = 200
@@ -171,7 +171,9 @@ def _pile(rows: list, length: int, first_stays: bool):
         for i in np.flatnonzero(~earlier).tolist():
             r = rows[owner[i]]
             out.append((r.key, r.n_bytes, int(r.first + inner[i]), int(r.first + inner[i]) + length, int(hashes[i]), not bool(later[i])))
-    return pd.DataFrame(out, columns=["key", "n_bytes", "start", "stop", "string", "single"])
+    found = pd.DataFrame([x[:4] for x in out], columns=["key", "n_bytes", "start", "stop"])
+    # With missing values a plain column of whole numbers would turn into inexact ones.
+    return found.assign(string=pd.array([x[4] for x in out], "Int64"), single=pd.array([x[5] for x in out], "boolean"))
 
 
 def _piles(batches, length: int, first_stays: bool, most: int):
@@ -248,7 +250,7 @@ def _cut(batches, length: int, first_stays: bool):
                 spans = [(0, len(data))]
             kept = b"".join(data[a:b] for a, b in zip([0, *(b for _, b in spans)], [*(a for a, _ in spans), len(data)]))
             out.append((r.doc_id, len(data), len(data) - len(kept), len(spans), kept))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, first_stays: bool = True, hot: int = HOT_CONTEXTS) -> DataFrame:
@@ -258,15 +260,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, firs
     hashes; otherwise no copy does. Null text is empty. Rows that repeat an id with other texts, or have none, are
     rows of their own; rows without one come before all ids. Of rows equal in id and text all are the first copy. Strings are judged on the input.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("key", F.xxhash64("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    keyed = texts.select("key", "n_bytes", F.coalesce("doc_id", F.lit(-(2**63))).alias("order_id"), "text")
+    texts = text_rows(docs).withColumn("key", F.xxhash64("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    keyed = texts.select("key", "n_bytes", F.col("doc_id").alias("order_id"), "text")
     spans = repeated_spans(keyed, length, gram, first_stays, hot)
     copies = keyed.groupBy("key", "n_bytes").agg(F.count("*").alias("copies"), F.min("order_id").alias("order_id"))
     facts = copies.join(spans, ["key", "n_bytes"], "left")
-    rows = texts.join(facts, ["key", "n_bytes"]).withColumn("is_first", F.coalesce("doc_id", F.lit(-(2**63))) == F.col("order_id"))
+    rows = texts.join(facts, ["key", "n_bytes"]).withColumn("is_first", F.col("doc_id") == F.col("order_id"))
     rows = rows.select("doc_id", "text", "copies", "is_first", "spans")
-    return rows.mapInPandas(lambda b: _cut(b, length, first_stays), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return with_null_ids(rows.mapInPandas(lambda b: _cut(b, length, first_stays), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def digest(found: DataFrame) -> DataFrame:

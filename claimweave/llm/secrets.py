@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
-from .texts import text_rows
+from .texts import text_rows, with_null_ids
 
 MAX_OWNERS = 1
 MAX_REPOSITORIES = 3
@@ -72,13 +72,13 @@ def _scan(batches):
             repository = signed(xxhash.xxh64_intdigest(r.text)) if marks else 0
             out.append((r.doc_id, r.row, r.owner, repository, *counts, hashlib.sha256(digest(base).encode()).hexdigest(), marks))
         names = ["doc_id", "row", "owner", "repository", "n_assign", "n_access", "n_hex", "base_sha256", "candidates"]
-        yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=names)
 
 
 def candidates(docs: DataFrame, owner: str = "source") -> DataFrame:
     """Each document's base digest and candidates (place, kind, hash of the secret). No secret leaves the task."""
     rows = text_rows(docs, F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"))
-    return rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(_scan, SCANNED)
+    return with_null_ids(rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(_scan, SCANNED))
 
 
 def ownership(found: DataFrame) -> DataFrame:

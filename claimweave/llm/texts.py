@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHUNK = 4 << 20  # bytes of text that one NumPy pass takes at once
 
@@ -24,9 +24,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_rows(docs: DataFrame, *more: str) -> DataFrame:
-    """Document id, text and the named columns only, so that other columns cannot clash; null text is empty."""
-    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
+#: Stands for a missing id within tasks, where a column with missing numbers would lose digits.
+NO_ID = -(2**63)
+
+
+def text_rows(docs: DataFrame, *more: Column) -> DataFrame:
+    """Document id, text and the given columns only, so that other columns cannot clash; null text is empty."""
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
+
+
+def with_null_ids(found: DataFrame) -> DataFrame:
+    return found.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from functools import partial
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import text_rows
+from .texts import text_rows, with_null_ids
 
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"  # marks pieces that begin a word
@@ -117,4 +117,4 @@ def count_tokens(docs: DataFrame, pieces: str = VOCABULARY) -> DataFrame:
     A word that cannot be cut is one unknown token. Null or blank text has no words and no tokens; repeated rows
     and null ids are counted as rows of their own.
     """
-    return text_rows(docs).mapInPandas(partial(_count, name=pieces), "doc_id long, n_words long, n_tokens long")
+    return with_null_ids(text_rows(docs).mapInPandas(partial(_count, name=pieces), "doc_id long, n_words long, n_tokens long"))
