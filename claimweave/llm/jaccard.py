@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import store_table
 from .components import components
-from .texts import LOWER, chunks, joined, mix, words
+from .texts import LOWER, bounded_batches, chunks, joined, mix, words
 
 WIDTH = 5
 PERCENT = 80
@@ -164,6 +164,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, str
     and links with nothing. Rows that repeat an id are compared as texts of their own. A row without an id links with
     nothing, and its component is null. Other columns are left out.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     schema = "n long, sig long, window array<long>, doc_id long"
     sets = store_table(texts.where("doc_id is not null").mapInPandas(lambda b: _sets(b, width, percent, stretch), schema), "sets")

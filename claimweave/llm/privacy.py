@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
 from .secrets import signed
-from .texts import NO_ID, text_rows, with_null_ids
+from .texts import NO_ID, bounded_batches, text_rows, with_null_ids
 
 WINDOW = 80  # characters on either side of an entity whose words are judged
 DISCLOSURE = 0.95  # share of an entity's information that a term may give away
@@ -186,6 +186,7 @@ def sanitise(docs: DataFrame, window: int = WINDOW, disclosure: float = DISCLOSU
 
     Overlapping spans are masked together under the kind of the first. ``n_chars`` follows the text where given.
     """
+    bounded_batches(docs.sparkSession)
     keyed = store_table(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
     rows = keyed.select(F.col("__row").alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spans = find_personal(rows, window, disclosure, min_docs).where("spans <> ''").select("row", "spans")

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import LOWER, chunks, joined, mix, text_rows, words
+from .texts import LOWER, bounded_batches, chunks, joined, mix, text_rows, words
 
 TRAIN_DOCS = 4000  # bound of the labelled sample
 TRAIN_CHARS = 20_000  # and of the text of each of them
@@ -228,6 +228,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
             found[lo:hi] = model.score(held[lo:hi])
         return pd.Series(found)
 
+    bounded_batches(docs.sparkSession)
     return docs.withColumn("score", F.pandas_udf(score, "double")(F.coalesce("text", F.lit(""))))
 
 

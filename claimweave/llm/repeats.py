@@ -17,7 +17,7 @@ from .texts import BYTE_CODE, mix, text_rows, with_null_ids
 
 LENGTH = 400
 GRAM = 200
-PILE_BYTES = 4 << 20  # of contexts that are put in suffix order at once
+PILE_BYTES = 2 << 20  # of contexts that are put in suffix order at once
 HOT_CONTEXTS = 16_384  # different contexts of an anchor beyond which they are dealt to several piles
 SEEN_TEXTS = 500_000
 

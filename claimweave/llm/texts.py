@@ -28,8 +28,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 NO_ID = -(2**63)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Few rows and bytes in each batch that goes to Python: texts may be long, and tasks share little memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def text_rows(docs: DataFrame, *more: Column) -> DataFrame:
     """Document id, text and the given columns only, so that other columns cannot clash; null text is empty."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimweave.llm import decontaminate, jaccard, packing, privacy, quality
-from claimweave.llm.texts import table
+from claimweave.llm.texts import bounded_batches, table
 from claimweave.session import store_table, tune
 
 
@@ -27,6 +27,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
+    bounded_batches(spark)
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("row"))
     held = decontaminate.find_passages(keyed, table(spark, sf_dir, "benchmark")).select("row").distinct()
     return docs.join(held, F.xxhash64(docs["text"]) == held["row"], "left_anti")
