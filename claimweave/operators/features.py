@@ -220,11 +220,9 @@ def allocate_contribution(
     return joined.groupBy(*group, member, "category").agg(F.sum(impact).alias("impact"))
 
 
-def formula_from_table(attributes: DataFrame, version: str, most: int = 5000) -> str:
+def formula_from_table(attributes: DataFrame, version: str) -> str:
     """Model formula from an attribute table: one response, numeric and categorical predictors."""
-    rows = attributes.where(F.col(version) == 1).select("Attribute", "Variable_Category", "IsChar").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} attributes")
+    rows = attributes.where(F.col(version) == 1).select("Attribute", "Variable_Category", "IsChar").collect()
     response = [r.Attribute for r in rows if r.Variable_Category == "Response"]
     if len(response) != 1:
         raise ValueError("the version needs exactly one response")

@@ -218,5 +218,5 @@ def merge_features(base: DataFrame, sources: Mapping[str, DataFrame], keys: Sequ
     for frame in sources.values():
         part = frame.select(*keys, *[c for c in columns if c in frame.columns])
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
-    summed = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+    summed = stacked.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
     return attach(base, summed, list(keys)).na.fill(0, list(columns))

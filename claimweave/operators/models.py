@@ -115,12 +115,12 @@ def coefficient_table(spark: SparkSession, names: Sequence[str], values: Sequenc
 
 
 def poisson_lasso(
-    df: DataFrame, features: Sequence[str], label: str, lam: float, weight: str | None = None, rounds: int = 10, tol: float = 1e-6
+    df: DataFrame, features: Sequence[str], label: str, lam: float, weight: str | None = None, rounds: int = 60, tol: float = 1e-6
 ) -> tuple[float, list[float]]:
     """L1-penalised Poisson regression with log link.
 
     Each round solves a weighted lasso on the working response, so the whole fit is a short
-    sequence of distributed least-squares passes.
+    sequence of distributed least-squares passes. A fit that has not settled after ``rounds`` is an error.
     """
     base = df.where(F.col(label).isNotNull()).select(
         *features, F.col(label).cast("double").alias("_y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w")
@@ -134,7 +134,7 @@ def poisson_lasso(
             for name, c in zip(features, coefs):
                 if c:
                     eta = eta + F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.lit(c)
-            mu = F.exp(F.least(eta, F.lit(50.0)))
+            mu = F.exp(eta)
             working = ready.withColumns({"_z": eta + (F.col("_y") - mu) / mu, "_v": F.col("_w") * mu})
             model = LinearRegression(
                 labelCol="_z", weightCol="_v", regParam=lam, elasticNetParam=1.0, standardization=True, tol=1e-9, maxIter=200
@@ -143,10 +143,10 @@ def poisson_lasso(
             moved = max([abs(model.intercept - intercept), *[abs(a - b) for a, b in zip(new, coefs)]])
             intercept, coefs = float(model.intercept), new
             if moved < tol:
-                break
+                return intercept, coefs
     finally:
         ready.unpersist()
-    return intercept, coefs
+    raise RuntimeError(f"no fit within {rounds} rounds")
 
 
 def poisson_deviance(df: DataFrame, features: Sequence[str], label: str, intercept: float, coefs: Sequence[float], weight: str | None = None) -> float:
@@ -161,7 +161,7 @@ def poisson_deviance(df: DataFrame, features: Sequence[str], label: str, interce
 
 def poisson_lasso_1se(
     df: DataFrame, features: Sequence[str], label: str, fold: str, folds: Sequence[int], lambdas: Sequence[float],
-    weight: str | None = None, rounds: int = 6,
+    weight: str | None = None, rounds: int = 60,
 ) -> dict[str, object]:
     """Largest penalty whose mean held-out deviance is within one standard error of the best, and its fit."""
     table = {}

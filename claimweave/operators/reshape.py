@@ -15,13 +15,9 @@ def melt_codes(df: DataFrame, ids: Sequence[str], columns: Sequence[str], value:
     return long.where(F.col(value).isNotNull()).drop("_column")
 
 
-def levels_of(df: DataFrame, column: str, most: int = 2000) -> list[str]:
-    """Distinct levels, for columns known to have few; refuses to pull more than ``most``."""
-    found = df.select(F.col(column).cast("string").alias("l")).where("l is not null").distinct().limit(most + 1)
-    levels = sorted(r.l for r in found.collect())
-    if len(levels) > most:
-        raise ValueError(f"{column} has more than {most} levels; pass the levels to use")
-    return levels
+def levels_of(df: DataFrame, column: str) -> list[str]:
+    """Distinct levels in order: for columns that get a column per level, so have few by nature."""
+    return sorted(r.l for r in df.select(F.col(column).cast("string").alias("l")).where("l is not null").distinct().collect())
 
 
 def dummy_code(df: DataFrame, column: str, levels: Sequence[str] | None = None, prefix: str | None = None, drop: bool = True) -> DataFrame:

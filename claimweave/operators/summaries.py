@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from .ordering import quantile_row, with_grand_totals
+from .ordering import quantile_row, with_grand_totals, with_group_totals
 from ..functions import as_col
 
 
@@ -154,18 +154,14 @@ def histogram(df: DataFrame, column: str, bins: int = 20, inner: bool = False) -
 
 
 def weighted_corr(df: DataFrame, x: str, y: str, weight: str | Column, by: Sequence[str] = ()) -> DataFrame:
-    w, a, b = as_col(weight), F.col(x), F.col(y)
-    # Centred on the means of the same group, which keeps the sums small and exact enough.
-    rows = df.where(a.isNotNull() & b.isNotNull() & w.isNotNull())
-    n, sx, sy = F.sum(w), F.sum(w * a), F.sum(w * b)
-    sums = rows.groupBy(*by).agg(
-        n.alias("w"), sx.alias("sx"), sy.alias("sy"),
-        F.sum(w * a * a).alias("sxx"), F.sum(w * b * b).alias("syy"), F.sum(w * a * b).alias("sxy"),
-    )
-    cov = F.col("sxy") / F.col("w") - F.col("sx") / F.col("w") * F.col("sy") / F.col("w")
-    vx = F.col("sxx") / F.col("w") - F.pow(F.col("sx") / F.col("w"), 2)
-    vy = F.col("syy") / F.col("w") - F.pow(F.col("sy") / F.col("w"), 2)
-    return sums.select(*by, F.try_divide(cov, F.sqrt(vx * vy)).alias("corr"))
+    """Weighted correlation per group, from deviations from the group's means, which a first pass finds."""
+    rows = df.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), as_col(weight).cast("double").alias("_w"))
+    rows = rows.where("_x is not null and _y is not null and _w is not null")
+    w, a, b = F.col("_w"), F.col("_x"), F.col("_y")
+    held = with_group_totals(rows, by, {"_mx": F.sum(w * a) / F.sum(w), "_my": F.sum(w * b) / F.sum(w)})
+    dx, dy = a - F.col("_mx"), b - F.col("_my")
+    sums = held.groupBy(*by).agg(F.sum(w * dx * dy).alias("_xy"), F.sum(w * dx * dx).alias("_xx"), F.sum(w * dy * dy).alias("_yy"))
+    return sums.select(*by, F.try_divide("_xy", F.sqrt(F.col("_xx") * F.col("_yy"))).alias("corr"))
 
 
 def group_event_risk(

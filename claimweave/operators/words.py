@@ -22,10 +22,15 @@ not only own same so than too very
 
 
 def term_counts(
-    df: DataFrame, text: str, stop_words: Sequence[str] = tuple(ENGLISH_STOP_WORDS), min_length: int = 1
+    df: DataFrame, text: str, stop_words: Sequence[str] = tuple(ENGLISH_STOP_WORDS), min_length: int = 1,
+    language: str | None = None, stop_language: str = "en",
 ) -> DataFrame:
-    """How often each word occurs: lower case, no punctuation, digits or stop words."""
+    """How often each word occurs: lower case, no punctuation, digits or stop words.
+
+    With a ``language`` column the stop words are left out of rows in ``stop_language`` only; all rows are counted.
+    """
     plain = F.regexp_replace(F.lower(text), r"[\p{Punct}0-9]", "")
-    words = df.select(F.explode(F.split(plain, r"\s+")).alias("term"))
-    kept = words.where((F.length("term") >= min_length) & ~F.col("term").isin(*stop_words))
+    stopped = F.col(language).eqNullSafe(stop_language) if language else F.lit(True)
+    words = df.select(F.explode(F.split(plain, r"\s+")).alias("term"), stopped.alias("stopped"))
+    kept = words.where((F.length("term") >= min_length) & ~(F.col("stopped") & F.col("term").isin(*stop_words)))
     return kept.groupBy("term").agg(F.count(F.lit(1)).alias("n"))

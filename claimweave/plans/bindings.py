@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -89,7 +88,8 @@ BINDINGS: dict[str, str] = {
     "fx_scored": """
         select o_orderkey as row_id, l_pred as pred, o_totalprice as actual, o_orderkey % 5 + 1 as weight,
         case when o_orderkey % 10 < 6 then 'train' else 'valid' end as partition_name from orders join
-        (select l_orderkey, sum(l_extendedprice) as l_pred from lineitem group by l_orderkey) x on
+        (select l_orderkey, cast(sum(cast(l_extendedprice as decimal(18,
+        2))) as double) as l_pred from lineitem group by l_orderkey) x on
         l_orderkey = o_orderkey""",
     # Vendor files: claim lines per region group, with the codes of the line itself.
     "fx_vendor_group": """
@@ -185,24 +185,6 @@ def names_used(sql: str, candidates) -> list[str]:
     return [name for name in candidates if name in words]
 
 
-# Tables that grow with the data.
-FACT_TABLES = ("orders", "lineitem", "events", "documents", "pages", "conversations")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out rows of a table that has fewer files than there are cores.
-
-    One small file is one task, and everything up to the first shuffle would run in it. A table
-    of many files is left alone, so this never adds a shuffle of large data.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 64) else df
-
-
-# Schemas seen so far, so that file footers are read once per table and process.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class Inputs:
     """The driver tables of one folder and the claims tables bound to them."""
 
@@ -213,11 +195,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:
-            path = f"{self.folder}/{name}.parquet"
-            reader = self.spark.read.schema(_SCHEMAS[path]) if path in _SCHEMAS else self.spark.read
-            df = reader.parquet(path)
-            _SCHEMAS[path] = df.schema
-            self._frames[name] = spread(df) if name in FACT_TABLES else df
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._frames[name]
 
     def bound(self, name: str) -> DataFrame:

@@ -86,7 +86,7 @@ def _(t):
     ).withColumn("setting", F.lit("xxr"))
     later = t.fx_vendor_med.groupBy("member_id").agg(F.sum("charged").alias("cost"))
     rows = med.unionByName(rx).join(later, "member_id")
-    return models.period_models(rows, keys, ["n", "charged", "units"], "cost", ["ixx", "xox", "xxr"], trees=3, depth=2)
+    return models.period_models(rows, keys, ["n", "charged", "units"], "cost", ["ixx", "xox", "xxr"])
 
 
 STACK = "(select *, " + ", ".join(
@@ -122,7 +122,7 @@ def _(t):
 def _(t):
     cost = t.orders.groupBy(F.col("o_custkey").cast("string").alias("member_id")).agg(F.sum("o_totalprice").alias("cost"))
     rows = t.fx_member_scores.join(cost, "member_id")
-    return models.fit_stacked(rows, "cost", trees=3, depth=2).select("group_id", "member_id", "pattern", "score")
+    return models.fit_stacked(rows, "cost").select("group_id", "member_id", "pattern", "score")
 
 
 GROUP_SQL = """
@@ -268,7 +268,7 @@ def _(t):
         (F.col("c_nationkey") % 5).alias("zone"),
     )
     names = ["price", "balance", "zone"]
-    intercept, coefs = models.poisson_lasso(rows, names, "n", lam=0.01, rounds=4)
+    intercept, coefs = models.poisson_lasso(rows, names, "n", lam=0.01)
     return models.coefficient_table(t.spark, names, coefs, intercept)
 
 
@@ -290,13 +290,13 @@ def _(t):
 
 @query("f15_forest_score")
 def _(t):
-    scored, _ = models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice", trees=8, depth=5)
+    scored, _ = models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice")
     return scored.select("l_orderkey", "l_extendedprice", "prediction")
 
 
 @query("f15_forest_importance")
 def _(t):
-    return models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice", trees=8, depth=5)[1]
+    return models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice")[1]
 
 
 @query("f16_pca_scores")
@@ -311,7 +311,7 @@ def _(t):
         t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"), F.count("*").alias("n")),
         F.col("c_custkey") == F.col("o_custkey"), "left",
     )
-    scored, _ = models.spline_pca(rows, "c_custkey", ["c_acctbal", "total", "n"], rounds=2)
+    scored, _ = models.spline_pca(rows, "c_custkey", ["c_acctbal", "total", "n"])
     return scored.select("c_custkey", "pc1")
 
 

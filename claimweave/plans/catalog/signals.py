@@ -341,11 +341,11 @@ STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in words.ENGLISH_STOP_WO
 
 @query(
     "e11_term_counts",
-    f"""select term, count(*) as n from (select unnest(string_split_regex(regexp_replace(lower(text), '[[:punct:]0-9]', '', 'g'),
-        '[ \\t\\n\\v\\f\\r]+')) as term from documents where lang = 'en') x where length(term) >= 1 and term not in ({STOP}) group by 1""",
+    f"""select term, count(*) as n from (select coalesce(lang, '') as lang, unnest(string_split_regex(regexp_replace(lower(text), '[[:punct:]0-9]', '', 'g'),
+        '[ \\t\\n\\v\\f\\r]+')) as term from documents) x where length(term) >= 1 and not (lang = 'en' and term in ({STOP})) group by 1""",
 )
 def _(t):
-    return words.term_counts(t.documents.where("lang = 'en'"), "text")
+    return words.term_counts(t.documents, "text", language="lang")
 
 
 @query(

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 
+def _there(spark: SparkSession, path: str, *names: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *names]))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def materialize(spark: SparkSession, build: Callable[[], DataFrame], path: str, force: bool = False) -> DataFrame:
-    """The stored table at ``path`` if there is one, else compute, store and read it back."""
-    if not force:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+    """The stored table at ``path`` if there is a finished one, else compute, store and read it back.
+
+    A folder without the marker of a finished write is never overwritten unless ``force`` is set: it may be a write
+    under way, or something else.
+    """
+    if not force and _there(spark, path, "_SUCCESS"):
+        return spark.read.parquet(path)
+    if not force and _there(spark, path):
+        raise FileExistsError(f"{path} is no finished table; look at it, then use force")
     build().write.mode("overwrite").option("compression", "snappy").parquet(path)
     return spark.read.parquet(path)
 

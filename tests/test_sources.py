@@ -56,6 +56,9 @@ def test_materialize_computes_once(spark, tmp_path):
     assert len(calls) == 2
     with pytest.raises(ZeroDivisionError):
         writers.materialize(spark, lambda: 1 / 0, str(tmp_path / "other"))
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    with pytest.raises(FileExistsError):
+        writers.materialize(spark, build, path)
 
 
 def test_delimited_export_has_crlf_and_quoted_header(spark, tmp_path, frame):
