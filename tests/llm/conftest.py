@@ -1,5 +1,10 @@
+import os
+
 import pytest
 
+FOLDER = next((f for f in [os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")] if os.path.isdir(f)), None)
+#: Enough labelled rows to learn from.
+LARGER = next((f for f in ["/root/testdata/sf0.01", FOLDER] if f and os.path.isdir(f)), None)
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, `sig` int"
 
 
