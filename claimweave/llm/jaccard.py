@@ -134,15 +134,31 @@ def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return pairs.where("shared >= j").select("a", "b")
 
 
-def cross_pairs(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs that are not in one component yet; elements met in one component alone are left out first."""
+def lonely_counts(full: DataFrame, among: DataFrame) -> DataFrame:
+    """``sig``, ``lonely``: how many elements of each of some documents no other of them has."""
+    items = full.join(among, "sig").select("sig", F.explode("items").alias("item"))
+    single = items.groupBy("item").agg(F.count("*").alias("df"), F.min("sig").alias("sig")).where("df = 1")
+    return single.groupBy("sig").agg(F.count("*").alias("lonely"))
+
+
+def cross_pairs(rows: DataFrame, parts: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs that are not in one component yet.
+
+    Elements met in one component alone are left out first. Among the documents that remain, the elements that only
+    one has lie outside every intersection: a pair with too many of them cannot be alike and is not formed.
+    """
     known = rows.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     open_rows = store_table(known.join(mixed, "token"), "open")
-    a = open_rows.select("token", F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("j").alias("j_a"), F.col("component").alias("c_a"))
-    b = open_rows.select("token", F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("j").alias("j_b"), F.col("component").alias("c_b"))
-    met = a.join(b, "token").where((F.col("c_a") < F.col("c_b")) & _alike(F.col("n_a"), F.col("n_b"), percent))
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("j_a", "j_b")).alias("j"))
+    lonely = lonely_counts(full, open_rows.select("sig").distinct())
+    held = open_rows.join(lonely, "sig", "left").withColumn("lonely", F.coalesce("lonely", F.lit(0)))
+    # |difference| <= (100 - percent) / (100 + percent) * (n + m) for sets that are alike.
+    held = store_table(held.where((100 + percent) * F.col("lonely") <= (100 - percent) * (F.col("n") + F.floor(F.col("n") * 100 / percent))), "held")
+    a = held.select("token", *[F.col(c).alias(f"{c}_a") for c in ("sig", "n", "j", "component", "lonely")])
+    b = held.select("token", *[F.col(c).alias(f"{c}_b") for c in ("sig", "n", "j", "component", "lonely")])
+    near = (100 + percent) * (F.col("lonely_a") + F.col("lonely_b")) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    met = a.join(b, "token").where((F.col("component_a") < F.col("component_b")) & _alike(F.col("n_a"), F.col("n_b"), percent) & near)
+    pairs = met.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("j_a", "j_b")).alias("j"))
     return pairs.where("shared >= j").select("a", "b")
 
 
@@ -174,7 +190,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, str
     sample = sets.join(nodes, "sig").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     full = store_table(texts.join(sample, "doc_id").mapInPandas(lambda b: _full(b, width), "sig long, items array<long>").dropDuplicates(["sig"]), "full")
     links = store_table(verified(hub_pairs(rows, percent), full, percent), "links")
-    rest = verified(cross_pairs(rows, components(links), percent), full, percent)
+    rest = verified(cross_pairs(rows, components(links), full, percent), full, percent)
     parts = components(links.unionByName(rest))
     first = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     labelled = first.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
