@@ -202,24 +202,20 @@ def claimants(sources: Sequence[DataFrame], groups: DataFrame, history: int = DE
     return attach(people.distinct(), groups, ["group_id"], how="inner").withColumn("hist_mths_avail", F.lit(history))
 
 
-def score_inputs(
-    med: DataFrame,
-    rx: DataFrame,
-    groups: DataFrame,
-    lookups: Mapping[str, DataFrame],
-    diagnoses: Sequence[str],
-    settings: Settings = DEFAULTS,
-) -> dict[str, DataFrame]:
-    """All scoring inputs of a vendor: long medical codes, drug codes and group debits.
+def _debited(lines: DataFrame, lookups: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    procedures = priced_procedures(lines, lookups["ndc_price"], lookups["cpt_price"], lookups["drugs"])
+    return procedures, procedures.where(F.col("debits").isNotNull())
 
-    The lines inside the spine feed seven aggregates, so they are stored once.
-    """
+
+def score_inputs_med(
+    med: DataFrame, groups: DataFrame, lookups: Mapping[str, DataFrame], diagnoses: Sequence[str], settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Long medical codes for scoring. The lines inside the spine feed five parts, so they are stored once."""
     lines = store_table(med_lines(med, groups, settings), "med_lines")
-    procedures = priced_procedures(lines, lookups["ndc_price"], lookups["cpt_price"], lookups["drugs"])
-    debited = procedures.where(F.col("debits").isNotNull())
-    med_debit = debit_by_code(debited, debit_summary(debited, LINE), LINE, ["ndc_id", "proc_cd"])
-    long = (
-        procedure_codes(procedures, med_debit, lookups["cpt_genetic"], settings)
+    procedures, debited = _debited(lines, lookups)
+    debit = debit_by_code(debited, debit_summary(debited, LINE), LINE, ["ndc_id", "proc_cd"])
+    return (
+        procedure_codes(procedures, debit, lookups["cpt_genetic"], settings)
         .unionByName(revenue_codes(priced_revenue(lines, lookups["rev_price"]), settings))
         .unionByName(uncounted_revenue_codes(lines, settings))
         .unionByName(
@@ -227,13 +223,24 @@ def score_inputs(
             allowMissingColumns=True,
         )
     )
-    drug_rows = store_table(rx_lines(rx, groups, lookups["ndc_price"], settings), "rx_lines")
-    rx_debited = drug_rows.join(lookups["drugs"], "ndc_id")
-    rx_debit = debit_by_code(rx_debited, debit_summary(rx_debited, PERSON, F.col("ag_allow")), PERSON, ["ndc_id"])
+
+
+def score_inputs_rx(rx: DataFrame, groups: DataFrame, lookups: Mapping[str, DataFrame], settings: Settings = DEFAULTS) -> DataFrame:
+    """Drug codes for scoring; reads no medical line. The drug lines feed three parts and are stored once."""
+    lines = store_table(rx_lines(rx, groups, lookups["ndc_price"], settings), "rx_lines")
+    debited = lines.join(lookups["drugs"], "ndc_id")
+    debit = debit_by_code(debited, debit_summary(debited, PERSON, F.col("ag_allow")), PERSON, ["ndc_id"])
+    return rx_codes(lines, debit, settings)
+
+
+def score_inputs_groups(
+    med: DataFrame, rx: DataFrame, groups: DataFrame, lookups: Mapping[str, DataFrame], diagnoses: Sequence[str],
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """Groups with the debits of their medical and drug claims."""
+    lines = store_table(med_lines(med, groups, settings), "med_lines")
+    debited = _debited(lines, lookups)[1]
+    rx_debited = rx_lines(rx, groups, lookups["ndc_price"], settings).join(lookups["drugs"], "ndc_id")
     eligible = eligible_claims(lines, lookups["eligible_cpt"])
     debits = period_debits([rx_debited, debited], melt_codes(eligible, LINE, diagnoses), lookups["diag_debits"])
-    return {
-        "med_codes": long,
-        "rx_codes": rx_codes(drug_rows, rx_debit, settings),
-        "groups": attach(groups, debits, ["group_id", "underwriting_date"]).na.fill(0.0, ["med_debits", "rx_debits"]),
-    }
+    return attach(groups, debits, ["group_id", "underwriting_date"]).na.fill(0.0, ["med_debits", "rx_debits"])

@@ -174,13 +174,12 @@ def _(t):
     return vendor.period_debits([rx_rows(t).join(t.fx_drug_debits, "ndc_id"), debited(t)], dx, t.fx_diag_debits)
 
 
-def score_inputs(t):
-    lookups = {
+def score_lookups(t):
+    return {
         "ndc_price": t.fx_ndc_price, "cpt_price": t.fx_cpt_price, "rev_price": t.fx_rev_price, "drugs": t.fx_drug_debits,
         "cpt_genetic": t.fx_cpt_genetic, "icd_genetic": t.fx_icd_genetic, "icd_map": t.fx_icd_map,
         "diag_debits": t.fx_diag_debits, "eligible_cpt": t.fx_drug_debits.select(F.col("hcpcs").alias("cpt")),
     }
-    return vendor.score_inputs(t.fx_vendor_med, t.fx_vendor_rx, t.fx_vendor_group, lookups, DIAGS, SETTINGS)
 
 
 @query(
@@ -190,12 +189,12 @@ def score_inputs(t):
     round=CODE_ROUND,
 )
 def _(t):
-    return score_inputs(t)["med_codes"]
+    return vendor.score_inputs_med(t.fx_vendor_med, t.fx_vendor_group, score_lookups(t), DIAGS, SETTINGS)
 
 
 @query("k10_score_inputs_rx", f"with {LINES}, {RX_SQL} --main-- select * from xr", round=RX_ROUND)
 def _(t):
-    return score_inputs(t)["rx_codes"]
+    return vendor.score_inputs_rx(t.fx_vendor_rx, t.fx_vendor_group, score_lookups(t), SETTINGS)
 
 
 @query(
@@ -206,7 +205,9 @@ def _(t):
     round={"med_debits": 4, "rx_debits": 4},
 )
 def _(t):
-    return score_inputs(t)["groups"]
+    return vendor.score_inputs_groups(
+        t.fx_vendor_med, t.fx_vendor_rx, t.fx_vendor_group, score_lookups(t), DIAGS, SETTINGS
+    )
 
 
 @query(
