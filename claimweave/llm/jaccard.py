@@ -126,40 +126,52 @@ def _alike(n: Column, m: Column, percent: int) -> Column:
     return (100 * n >= percent * m) & (100 * m >= percent * n)
 
 
-def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Each document with the least document of each of its elements: as many pairs as elements at most."""
-    hubs = rows.groupBy("token").agg(F.min(F.struct("sig", "n", "j")).alias("hub"))
-    met = rows.join(hubs, "token").where((F.col("sig") != F.col("hub.sig")) & _alike(F.col("n"), F.col("hub.n"), percent))
-    pairs = met.groupBy(F.col("sig").alias("a"), F.col("hub.sig").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("j", "hub.j")).alias("j"))
-    return pairs.where("shared >= j").select("a", "b")
-
-
-def lonely_counts(full: DataFrame, among: DataFrame) -> DataFrame:
-    """``sig``, ``lonely``: how many elements of each of some documents no other of them has."""
-    items = full.join(among, "sig").select("sig", F.explode("items").alias("item"))
+def with_lonely_counts(rows: DataFrame, full: DataFrame) -> DataFrame:
+    """Adds ``lonely``: how many elements of each document no other one of these has."""
+    items = full.select("sig", F.explode("items").alias("item"))
     single = items.groupBy("item").agg(F.count("*").alias("df"), F.min("sig").alias("sig")).where("df = 1")
-    return single.groupBy("sig").agg(F.count("*").alias("lonely"))
+    lonely = single.groupBy("sig").agg(F.count("*").alias("lonely"))
+    return rows.join(lonely, "sig", "left").withColumn("lonely", F.coalesce("lonely", F.lit(0)))
 
 
-def cross_pairs(rows: DataFrame, parts: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs that are not in one component yet.
+def _may_be_alike(a: str, b: str, percent: int) -> Column:
+    """Sizes, and elements that must lie outside the intersection, still allow the likeness.
 
-    Elements met in one component alone are left out first. Among the documents that remain, the elements that only
-    one has lie outside every intersection: a pair with too many of them cannot be alike and is not formed.
+    What one set has and the other has not differs by ``n - m`` in number between the two sides; each side holds
+    the lonely elements. Sets that are alike differ in at most (100 - percent) / (100 + percent) of ``n + m``.
     """
+    n, m, own, other = (F.col(c) for c in (f"{a}.n", f"{b}.n", f"{a}.lonely", f"{b}.lonely"))
+    differ = F.greatest(own, other + n - m) + F.greatest(other, own + m - n)
+    return _alike(n, m, percent) & ((100 + percent) * differ <= (100 - percent) * (n + m))
+
+
+def _enough(met: DataFrame) -> DataFrame:
+    """The pairs of documents that meet as often as the smaller of their ``j``."""
+    pairs = met.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("x.j", "y.j")).alias("j"))
+    return pairs.where("shared >= j").select("a", "b")
+
+
+def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Each document with one hub per element: the document with the fewest lonely elements, which is the nearest to
+    what a group of copies has in common. There are as many pairs as elements at most."""
+    hubs = rows.groupBy("token").agg(F.min(F.struct("lonely", "sig", "n", "j")).alias("y"))
+    own = rows.select("token", F.struct("lonely", "sig", "n", "j").alias("x"))
+    return _enough(own.join(hubs, "token").where((F.col("x.sig") != F.col("y.sig")) & _may_be_alike("x", "y", percent)))
+
+
+def cross_pairs(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs that are not in one component yet; elements met in one component alone are left out first."""
     known = rows.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    open_rows = store_table(known.join(mixed, "token"), "open")
-    lonely = lonely_counts(full, open_rows.select("sig").distinct())
-    held = open_rows.join(lonely, "sig", "left").withColumn("lonely", F.coalesce("lonely", F.lit(0)))
-    # |difference| <= (100 - percent) / (100 + percent) * (n + m) for sets that are alike.
-    held = store_table(held.where((100 + percent) * F.col("lonely") <= (100 - percent) * (F.col("n") + F.floor(F.col("n") * 100 / percent))), "held")
-    a = held.select("token", *[F.col(c).alias(f"{c}_a") for c in ("sig", "n", "j", "component", "lonely")])
-    b = held.select("token", *[F.col(c).alias(f"{c}_b") for c in ("sig", "n", "j", "component", "lonely")])
-    near = (100 + percent) * (F.col("lonely_a") + F.col("lonely_b")) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    met = a.join(b, "token").where((F.col("component_a") < F.col("component_b")) & _alike(F.col("n_a"), F.col("n_b"), percent) & near)
-    pairs = met.groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("j_a", "j_b")).alias("j"))
-    return pairs.where("shared >= j").select("a", "b")
+    left = known.join(mixed, "token").groupBy("sig", "n", "j", "lonely", "component").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
+    left = left.select(F.struct("*").alias("x"), F.explode("tokens").alias("token"))
+    open_rows = store_table(left, "open")
+    met = open_rows.join(open_rows.withColumnRenamed("x", "y"), "token")
+    common = F.array_intersect("x.tokens", "y.tokens")
+    # Of all elements that a pair shares, it is formed at the first.
+    first = (F.get(common, F.lit(0)) == F.col("token")) & (F.size(common) >= F.least("x.j", "y.j"))
+    pairs = met.where((F.col("x.component") < F.col("y.component")) & _may_be_alike("x", "y", percent) & first)
+    return pairs.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -189,8 +201,9 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, str
     nodes = rows.select("sig").distinct()
     sample = sets.join(nodes, "sig").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     full = store_table(texts.join(sample, "doc_id").mapInPandas(lambda b: _full(b, width), "sig long, items array<long>").dropDuplicates(["sig"]), "full")
+    rows = store_table(with_lonely_counts(rows, full), "rows")
     links = store_table(verified(hub_pairs(rows, percent), full, percent), "links")
-    rest = verified(cross_pairs(rows, components(links), full, percent), full, percent)
+    rest = verified(cross_pairs(rows, components(links), percent), full, percent)
     parts = components(links.unionByName(rest))
     first = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     labelled = first.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
