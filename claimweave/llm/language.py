@@ -111,13 +111,18 @@ def train(data: np.ndarray, labels: list[str], epochs: int = EPOCHS, rate: float
 def fit_language(docs: DataFrame, most: int = TRAIN_DOCS, each: int = TRAIN_WINDOWS, window: int = WINDOW) -> ByteNet | None:
     """Train on at most ``most`` documents with a language, drawn by a hash of the text, and ``each`` windows of them.
 
-    ``docs``: text, lang. Returns None where no labelled text has a letter.
+    ``docs``: text, lang. Only hashes are sorted; the windows of the drawn texts alone are moved. Returns None where
+    no labelled text has a letter.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    drawn = rows.orderBy(F.xxhash64("text", "lang")).limit(most)
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text", "lang").alias("h"))
+    last = rows.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if last is None:
+        return None
     size = F.greatest(F.char_length("text") - window, F.lit(0))
     starts = [(size * k / max(1, each - 1)).cast("int") + 1 for k in range(each)]
-    parts = drawn.select("lang", F.explode(F.array(*[F.col("text").substr(s, F.lit(window)) for s in starts])).alias("part")).toPandas()
+    cut = F.struct("lang", F.array(*[F.col("text").substr(s, F.lit(window)) for s in starts]).alias("parts"))
+    drawn = rows.where(F.col("h") <= last).select("h", cut.alias("x")).groupBy("h").agg(F.min("x").alias("x"))
+    parts = drawn.orderBy("h").select("x.lang", F.explode("x.parts").alias("part")).toPandas()
     if parts.empty:
         return None
     texts = [p.encode()[:window] for p in parts["part"]]

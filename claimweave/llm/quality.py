@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import LOWER, bounded_batches, chunks, joined, mix, text_rows, words
+from .texts import LOWER, bounded_batches, chunks, joined, mix, words
 
 TRAIN_DOCS = 4000  # bound of the labelled sample
 TRAIN_CHARS = 20_000  # and of the text of each of them
@@ -208,11 +208,16 @@ def train_quality(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS,
     return QualityModel(field, *fit_scale(weighted_logit(good, size, per_text), labels))
 
 
-def fit_quality(docs: DataFrame, most: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> QualityModel | None:
-    """Train on at most ``most`` labelled documents (``text``, ``quality``), drawn by a hash of the text, and the
-    first ``chars`` characters of each. Returns None where there are no labels."""
-    drawn = docs.where("quality is not null").orderBy(F.xxhash64("text")).limit(most)
-    seen = drawn.select(F.substring("text", 1, chars).alias("text"), "quality").toPandas()
+def fit_quality(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> QualityModel | None:
+    """Train on the documents of at most ``most`` labels (``doc_id``, ``quality``), drawn by a hash of the id, and the
+    first ``chars`` characters of each. Returns None where there are none.
+
+    The labels are drawn first: at most ``most`` of them are broadcast, and no other text is moved.
+    """
+    drawn = labels.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
+    body = F.struct(F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
+    held = docs.select("doc_id", body.alias("body")).join(F.broadcast(drawn), "doc_id")
+    seen = held.groupBy("doc_id", "quality").agg(F.min("body").alias("body")).orderBy("doc_id", "quality").select("body.text", "quality").toPandas()
     if seen.empty:
         return None
     return train_quality([t.encode() for t in seen["text"]], (seen["quality"] > 0).to_numpy(int))
@@ -236,7 +241,7 @@ def learned_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: in
     """The model learnt from the labels of the other folds (crc32 of the id as text)."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     known = labels.where(F.col("quality").isNotNull() & (fold != held)).select("doc_id", "quality")
-    return fit_quality(text_rows(docs).join(known, "doc_id").select("text", "quality"))
+    return fit_quality(docs, known)
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = 5, held: int = 0) -> DataFrame:
