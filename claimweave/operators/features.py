@@ -134,28 +134,26 @@ def apply_linear_rate(
     return df.withColumn(output, linear_score(terms, intercept) + addend)
 
 
-def missing_periods(setting: str) -> Column:
-    return sum((F.col(f"pred_{setting}_{i}").isNull().cast("int") for i in (1, 2, 3)), F.lit(0))
+#: The stacked models by the sources they are made of; the last one stands for every other mix of sources.
+STACKS = {"op_rx": ("xox", "xxr"), "op": ("xox",), "rx": ("xxr",), "med": ("ixx", "xox"), "ior": ("ixx", "xox", "xxr")}
+
+
+def has_prediction(setting: str) -> Column:
+    return F.coalesce(*[F.col(f"pred_{setting}_{i}") for i in (1, 2, 3)]).isNotNull()
 
 
 def source_pattern() -> Column:
-    """Which sources have predictions; everything else, also no data at all, uses the all-source model."""
-    inp, out, rx = (missing_periods(s) for s in SETTINGS_3)
-    no_inp, has_inp = inp == 3, inp < 3
-    return (
-        F.when((out < 3) & no_inp & (rx < 3), "op_rx")
-        .when((out < 3) & no_inp & (rx == 3), "op")
-        .when((out == 3) & no_inp & (rx < 3), "rx")
-        .when((out < 3) & has_inp & (rx == 3), "med")
-        .otherwise("ior")
-    )
+    """The stacked model whose sources are those with a prediction; the all-source model where there is none such."""
+    present = F.concat_ws("+", *[F.when(has_prediction(s), s) for s in sorted(SETTINGS_3)])
+    names = F.create_map(*[F.lit(x) for name, sources in STACKS.items() for x in ("+".join(sorted(sources)), name)])
+    return F.coalesce(F.try_element_at(names, present), F.lit([*STACKS][-1]))
 
 
 def stacked_score(df: DataFrame, output: str = "score") -> DataFrame:
     """The stacked prediction of the row's source pattern, from columns pred_<pattern>."""
     pattern = df.withColumn("pattern", source_pattern())
     chosen = F.lit(None).cast("double")
-    for name in ("op_rx", "op", "rx", "med", "ior"):
+    for name in STACKS:
         chosen = F.when(F.col("pattern") == name, F.col(f"pred_{name}")).otherwise(chosen)
     return pattern.withColumn(output, chosen)
 

@@ -18,7 +18,7 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .features import log_offset, rcs_terms, spline_knots, stacked_score
+from .features import STACKS, log_offset, rcs_terms, spline_knots, stacked_score
 from .reshape import dummy_code, levels_of
 from ..session import cut_lineage
 
@@ -80,9 +80,6 @@ def period_models(
 
 
 # Sources each stacked model reads.
-STACKS = {"op_rx": ("xox", "xxr"), "op": ("xox",), "rx": ("xxr",), "med": ("ixx", "xox"), "ior": ("ixx", "xox", "xxr")}
-
-
 def fit_stacked(df: DataFrame, target: str, trees: int = 20, depth: int = 3, seed: int = 0) -> DataFrame:
     """Stacked model per source pattern over the period predictions, and the score of the row's pattern."""
     scored = cut_lineage(df)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -89,9 +90,20 @@ def _leaves(schema: StructType, path: str = "") -> list[str]:
     return names
 
 
-def flatten_json(df: DataFrame, column: str, schema: StructType | str, prefix: str = "") -> DataFrame:
-    """JSON text to columns named by their dotted path; invalid text gives nulls."""
-    parsed = df.withColumn("_j", F.from_json(column, schema))
+def json_schema(df: DataFrame, column: str) -> str:
+    """The keys and types that the JSON objects of a column have together; keys of several types are text."""
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
+        raise ValueError(f"{column} holds no JSON objects: {found}")
+    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", found.replace("OBJECT<", "STRUCT<"))
+
+
+def flatten_json(df: DataFrame, column: str, schema: StructType | str | None = None, prefix: str = "") -> DataFrame:
+    """JSON text to columns named by their dotted path; invalid text gives nulls.
+
+    Without a ``schema`` a first pass over the column finds one.
+    """
+    parsed = df.withColumn("_j", F.from_json(column, json_schema(df, column) if schema is None else schema))
     inner = parsed.schema["_j"].dataType
     flat = [F.col("_j." + ".".join(f"`{p}`" for p in leaf.split("."))).alias(prefix + leaf) for leaf in _leaves(inner)]
     return parsed.select(*df.drop(column).columns, *flat)

@@ -142,6 +142,11 @@ def _(t):
     return reshape.flatten_json(rows, "doc", "k bigint, `in` struct<j: bigint>").withColumnRenamed("in.j", "in_j")
 
 
+@query("r12_flatten_props", "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
+def _(t):
+    return reshape.flatten_json(t.events.select("event_id", "props"), "props")
+
+
 @query(
     "r13_pivot_scenarios",
     """select o_custkey, max(case when o_orderstatus = 'F' then o_totalprice end) as price_F,

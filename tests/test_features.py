@@ -134,7 +134,7 @@ def test_poisson_lasso_recovers_signs_and_shrinks(frame):
     intercept, coefs = models.poisson_lasso(df, ["a", "b", "c"], "y", lam=0.001)
     assert abs(intercept - 0.3) < 0.15 and abs(coefs[0] - 0.8) < 0.1 and abs(coefs[1] + 0.5) < 0.1
     assert models.poisson_lasso(df, ["a", "b", "c"], "y", lam=50.0)[1] == [0.0, 0.0, 0.0]
-    picked = models.poisson_lasso_1se(df, ["a", "b", "c"], "y", "fold", [0, 1], [0.001, 0.1], rounds=3)
+    picked = models.poisson_lasso_1se(df, ["a", "b", "c"], "y", "fold", [0, 1], [0.001, 0.1])
     assert picked["lambda_1se"] >= picked["lambda_min"]
 
 

@@ -139,3 +139,11 @@ def test_term_counts(frame):
     got = {r.term: r.n for r in words.term_counts(df, "t").collect()}
     assert got == {"cat": 2, "cats": 1, "its": 1 , "dogs": 1, "life": 1} or got == {"cat": 2, "cats": 1, "dogs": 1, "life": 1}
     assert len(words.ENGLISH_STOP_WORDS) == len(set(words.ENGLISH_STOP_WORDS))
+
+
+def test_flatten_json_finds_the_keys(frame):
+    rows_in = [(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"b": {"d": 2.5}, "a": 7}'), (3, "no json"), (4, None)]
+    got = reshape.flatten_json(frame(rows_in, "id int, doc string"), "doc")
+    assert set(got.columns) == {"id", "a", "b.c", "b.d"}
+    found = {r["id"]: (r["a"], r["b.c"], None if r["b.d"] is None else float(r["b.d"])) for r in got.collect()}
+    assert found == {1: (1, "x", None), 2: (7, None, 2.5), 3: (None, None, None), 4: (None, None, None)}
