@@ -193,7 +193,9 @@ def fit_scale(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train_quality(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS, steps: int = STEPS) -> QualityModel:
     """Labels belong to documents. Lines of good documents are good; which lines of a bad one are bad is found in
     rounds: at first all, then those that the field finds more bad than good, and its worst line in any case."""
-    features, size, per_text = line_features(texts)
+    # Chunk by chunk: the passes over bytes need many times the memory of the text.
+    parts = [line_features(texts[a:b]) for a, b in chunks(texts, 1 << 20)]
+    features, size, per_text = (np.concatenate(x) for x in zip(*parts))
     features = with_neighbours(features, per_text)
     owner = np.repeat(np.arange(len(texts)), per_text)
     lines = labels[owner].astype(int)
