@@ -163,9 +163,14 @@ def cross_pairs(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs that are not in one component yet; elements met in one component alone are left out first."""
     known = rows.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    left = known.join(mixed, "token").groupBy("sig", "n", "j", "lonely", "component").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-    left = left.select(F.struct("*").alias("x"), F.explode("tokens").alias("token"))
-    open_rows = store_table(left, "open")
+    slim = known.join(mixed, "token").select("token", F.struct("lonely", "sig", "n", "j", "component").alias("x"))
+    slim = store_table(slim, "open")
+    # Rows without any possible partner go first, before the rows are given all elements of their document.
+    other = slim.select(F.col("token").alias("met"), F.col("x").alias("y"))
+    possible = (F.col("x.component") != F.col("y.component")) & _may_be_alike("x", "y", percent)
+    left = slim.join(other, (F.col("token") == F.col("met")) & possible, "left_semi")
+    left = left.groupBy("x").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
+    open_rows = store_table(left.select(F.struct("x.*", "tokens").alias("x"), F.explode("tokens").alias("token")), "possible")
     met = open_rows.join(open_rows.withColumnRenamed("x", "y"), "token")
     common = F.array_intersect("x.tokens", "y.tokens")
     # Of all elements that a pair shares, it is formed at the first.
