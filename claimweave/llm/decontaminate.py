@@ -2,14 +2,16 @@
 
 Texts are sequences of lower-case words without ASCII punctuation. A passage is an item with at most ``RATE`` of its
 words inserted, removed or replaced. The random walk of Chakraborty, Goldenberg and Koucky maps such edits to few
-places of a longer sequence; samples of its places are hash keys, as many as the target recall asks for.
+places of a longer sequence; samples of its places are hash keys, as many as the target recall asks for. The walks of
+long texts drift apart, so longer items are cut into short pieces for the keys: of a passage's pieces, one at least
+holds no larger share of edits than the whole.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -20,9 +22,10 @@ from .texts import LOWER, NO_ID, chunks, joined, mix, text_rows, with_null_ids,
 RATE = 0.2
 RECALL = 0.995
 SAMPLED = 4  # places in a key
-APART = 0.4  # share of the embedding's places that RATE edits change
+PIECE = 16  # words of a piece at most
 STEPS = 1.6  # of the walk, for each word
-RATIO = 1.15  # of the largest to the smallest item of one window size
+RATIO = 1.15  # of the largest to the smallest piece of one window size
+TRIALS, WALKS = 400, 60  # of edited pieces for each kind of edit, and of each of them, when rounds are measured
 BLOCK_ITEMS = 4000  # items that a task holds at once; more are matched block by block
 
 CLEAN = LOWER.copy()
@@ -32,10 +35,6 @@ ODD = _RANDOM.integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint
 BIGRAM = np.uint64(0x9DDFEA08EB382D69)
 
 
-def repeats(recall: float = RECALL, sampled: int = SAMPLED, apart: float = APART) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - (1 - apart) ** sampled))
-
-
 def edits_allowed(n: int, rate: float) -> int:
     return int(rate * n + 1e-9)
 
@@ -49,20 +48,62 @@ def bigrams(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def walk_keys(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: int, rounds: int) -> np.ndarray:
-    """Keys (start, round): each round walks with bits of its own and hashes the words at its sampled steps."""
-    keys = np.empty((len(starts), rounds), np.uint64)
-    for r in range(rounds):
-        rng = np.random.default_rng((steps, r))
-        sampled = set(rng.choice(steps, min(SAMPLED, steps), replace=False).tolist())
-        at, key = starts.copy(), np.zeros(len(starts), np.uint64)
-        for j in range(max(sampled) + 1):
-            word = np.where(at < stops, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
-            if j in sampled:
-                key = mix(key * BIGRAM + word)
-            at += ((word ^ ODD[(r * 131 + j) & 4095]) * ODD[j & 4095] >> np.uint64(63)).astype(at.dtype)
-        keys[:, r] = key
-    return keys
+def walk(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: int, r: int):
+    """The word at each step of the walk with the bits of round ``r``, for all starts at once; 0 behind the stops."""
+    at = starts.copy()
+    for j in range(steps):
+        word = np.where(at < stops, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
+        yield word
+        at += ((word ^ ODD[(r * 131 + j) & 4095]) * ODD[j & 4095] >> np.uint64(63)).astype(at.dtype)
+
+
+def walk_key(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: int, r: int) -> np.ndarray:
+    """A key for each start: the hash of the words at the round's sampled steps."""
+    sampled = set(np.random.default_rng((steps, r)).choice(steps, min(SAMPLED, steps), replace=False).tolist())
+    key = np.zeros(len(starts), np.uint64)
+    for j, word in enumerate(walk(hashes, starts, stops, max(sampled) + 1, r)):
+        if j in sampled:
+            key = mix(key * BIGRAM + word)
+    return key
+
+
+def edited(n: int, kind: str, k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """A piece of ``n`` random words, and a text that starts with it after ``k`` edits and has ``n + k`` words."""
+    piece, new = (rng.integers(1, 2**63, size, dtype=np.uint64) for size in (n, 2 * n + k))
+    at = np.sort(rng.choice(n, k, replace=False))
+    if kind == "replace":
+        text = piece.copy()
+        text[at] = new[:k]
+    else:
+        text = np.insert(piece, at, new[:k]) if kind == "insert" else np.delete(piece, at)
+    return piece, np.concatenate([text, new[k:]])[: n + k]
+
+
+@lru_cache(maxsize=None)
+def repeats(n: int, steps: int, rate: float = RATE, recall: float = RECALL) -> int:
+    """Rounds that find a piece of ``n`` words at ``rate`` edits with the target recall, whatever the kind of edit.
+
+    Measured: the share of places that the walks of a piece and its edited text have in common gives each trial's
+    chance that a round's key is the same, and rounds are added until the trials' mean recall is reached.
+    """
+    k = edits_allowed(n, rate)
+    if not k:
+        return 1
+    sampled = min(SAMPLED, steps)
+    chance = np.array([math.comb(same, sampled) / math.comb(steps, sampled) for same in range(steps + 1)])
+    most = 1
+    for kind in ("replace", "insert", "remove"):
+        rng = np.random.default_rng(n)
+        pieces, texts = (np.concatenate(x) for x in zip(*(edited(n, kind, k, rng) for _ in range(TRIALS))))
+        p, q = np.arange(TRIALS) * n, np.arange(TRIALS) * (n + k)
+        hit = np.zeros(TRIALS)
+        for r in range(WALKS):
+            both = zip(walk(pieces, p, p + n, steps, r), walk(texts, q, q + n + k, steps, r))
+            hit += chance[sum((a == b).astype(int) for a, b in both)] / WALKS
+        missed = 1 - np.maximum(hit, 1e-4)
+        while (missed**most).mean() > 1 - recall:
+            most += 1
+    return most
 
 
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -79,11 +120,11 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class SizeClass:
-    items: np.ndarray  # numbers of the items
+    words: np.ndarray  # of the pieces
     longest: int
-    need: int  # bigrams of the benchmark that a passage keeps at least
+    need: int  # bigrams of the benchmark that a piece keeps at least
     steps: int
-    keys: list[tuple[np.ndarray, np.ndarray]]  # of each round: sorted keys, and their items
+    keys: list[tuple[np.ndarray, np.ndarray]]  # of each round: sorted keys, and their pieces
 
 
 class Benchmark:
@@ -99,20 +140,28 @@ class Benchmark:
         self.pairs = np.unique(pairs[pairs > 0])
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(self.pairs >> np.uint64(42)).astype(np.int64)] = True
-        sizes = np.diff(bounds)
-        order = [i for i in np.argsort(sizes, kind="stable").tolist() if sizes[i]]
-        self.classes, self.rounds = [], repeats(recall)
-        while order:
+        self.sizes = np.diff(bounds)
+        self.allowed = np.array([edits_allowed(n, rate) for n in self.sizes.tolist()], np.int64)
+        parts = [(i, k * n // m, (k + 1) * n // m) for i, n in enumerate(self.sizes.tolist()) for m in [-(-n // PIECE)] for k in range(m)]
+        self.item, self.offset, stop = np.array(parts, np.int64).reshape(-1, 3).T
+        sizes = stop - self.offset
+        begin = bounds[self.item] + self.offset
+        order = np.argsort(sizes, kind="stable")
+        self.classes = []
+        while len(order):
             small = int(sizes[order[0]])
-            group = [i for i in order if sizes[i] <= small * RATIO]
+            group = order[sizes[order] <= small * RATIO]
             order = order[len(group) :]
-            longest = int(sizes[group[-1]])
-            need = min(int(sizes[i]) - 1 - 2 * edits_allowed(int(sizes[i]), rate) for i in group)
+            lengths = np.unique(sizes[group]).tolist()
+            need = min(n - 1 - 2 * edits_allowed(n, rate) for n in lengths)
             steps = max(1, int(STEPS * small))
-            found = walk_keys(hashes, bounds[group], bounds[np.array(group) + 1], steps, self.rounds)
-            ranked = [np.argsort(found[:, r], kind="stable") for r in range(self.rounds)]
-            keys = [(found[o, r], np.array(group)[o]) for r, o in enumerate(ranked)]
-            self.classes.append(SizeClass(np.array(group), longest + edits_allowed(longest, rate), max(0, need), steps, keys))
+            keys = []
+            for r in range(max(repeats(n, steps, rate, recall) for n in lengths)):
+                key = walk_key(hashes, begin[group], begin[group] + sizes[group], steps, r)
+                ranked = np.argsort(key, kind="stable")
+                keys.append((key[ranked], group[ranked]))
+            held = np.unique(np.concatenate([hashes[a : a + n] for a, n in zip(begin[group], sizes[group])]))
+            self.classes.append(SizeClass(held, lengths[-1] + edits_allowed(lengths[-1], rate), max(0, need), steps, keys))
 
     def known_pairs(self, pairs: np.ndarray) -> np.ndarray:
         """Which bigrams are in the benchmark."""
@@ -132,41 +181,51 @@ class Benchmark:
         bounds = np.searchsorted(at, starts)
         total = np.concatenate([[0], np.cumsum(self.known_pairs(bigrams(hashes, bounds)))])
         ends = np.arange(len(hashes))
-        tried: set[tuple[int, int, int]] = set()
+        tries: list[np.ndarray] = []
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for c in self.classes:
             held = total[np.minimum(ends + c.longest, len(hashes))] - total[:-1]
             if c.need:
                 begin = np.flatnonzero(held >= c.need)
             else:  # items of one word
-                begin = np.flatnonzero(np.isin(hashes, np.concatenate([self.words[i] for i in c.items])))
+                begin = np.flatnonzero(np.isin(hashes, c.words))
             if not len(begin):
                 continue
             text = np.searchsorted(bounds, begin, side="right") - 1
             stops = np.minimum(bounds[text + 1], begin + c.longest)
-            keys = walk_keys(hashes, begin, stops, c.steps, self.rounds)
-            for r, (known, items) in enumerate(c.keys):
-                lo, hi = np.searchsorted(known, keys[:, r], "left"), np.searchsorted(known, keys[:, r], "right")
-                for k in np.flatnonzero(hi > lo).tolist():
-                    for item in items[lo[k] : hi[k]].tolist():
-                        self.verify(int(begin[k]), int(text[k]), item, hashes, bounds, tried, best)
+            for window, piece in self.hits(c, hashes, begin, stops):
+                item, first = self.item[piece], begin[window] - self.offset[piece]
+                half = np.maximum(1, self.sizes[item] // 2)
+                tries.append(np.column_stack([text[window], item, first // half, first]))
+        if not tries:
+            return []
+        # One test stands for all windows of a mark: it takes the whole stretch that they can reach.
+        tried = np.concatenate(tries)
+        tried = tried[np.lexsort(tried.T[::-1])]
+        tried = tried[np.concatenate([[True], (tried[1:, :3] != tried[:-1, :3]).any(axis=1)])]
+        text, item, mark, first = tried.T
+        n, allowed = self.sizes[item], self.allowed[item]
+        half = np.maximum(1, n // 2)
+        lo = np.maximum(bounds[text], mark * half - allowed - 1)
+        hi = np.minimum(bounds[text + 1], (mark + 1) * half + n + allowed + 1)
+        # The stretch must keep enough word pairs for the whole item, too.
+        for k in np.flatnonzero(total[hi] - total[lo] >= n - 1 - 2 * allowed).tolist():
+            edits, _ = edit_distance(self.words[item[k]], hashes[lo[k] : hi[k]])
+            word = max(0, int(first[k] - bounds[text[k]]))
+            if edits <= allowed[k] and (edits, word) < best.get((int(text[k]), int(item[k])), (int(n[k]) + 1, 0)):
+                best[int(text[k]), int(item[k])] = (edits, word)
         return [(t, i, e, w) for (t, i), (e, w) in sorted(best.items())]
 
-    def verify(self, begin: int, text: int, item: int, hashes: np.ndarray, bounds: np.ndarray, tried: set, best: dict) -> None:
-        wanted = self.words[item]
-        n = len(wanted)
-        allowed = edits_allowed(n, self.rate)
-        mark = (text, item, begin // max(1, n // 2))
-        if mark in tried:
-            return
-        tried.add(mark)
-        # The whole stretch that windows of this mark can reach, so that one test stands for all of them.
-        half = max(1, n // 2)
-        lo = max(int(bounds[text]), mark[2] * half - allowed - 1)
-        hi = min(int(bounds[text + 1]), (mark[2] + 1) * half + n + allowed + 1)
-        edits, _ = edit_distance(wanted, hashes[lo:hi])
-        if edits <= allowed and (edits, begin - int(bounds[text])) < best.get((text, item), (n + 1, 0)):
-            best[text, item] = (edits, begin - int(bounds[text]))
+    def hits(self, c: SizeClass, hashes: np.ndarray, begin: np.ndarray, stops: np.ndarray):
+        """For each round: windows and the pieces with the same key."""
+        for r, (known, pieces) in enumerate(c.keys):
+            keys = walk_key(hashes, begin, stops, c.steps, r)
+            lo = np.searchsorted(known, keys, "left")
+            window = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == keys)
+            lo = lo[window]
+            count = np.searchsorted(known, keys[window], "right") - lo
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            yield np.repeat(window, count), pieces[np.repeat(lo, count) + place]
 
 
 def _find(batches, block: Benchmark):

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from claimweave.llm import decontaminate as dc
 
@@ -63,6 +64,25 @@ def test_passages_against_brute_force(spark, documents):
     assert all(k in got for k, e in want.items() if e == 0)
 
 
+@pytest.mark.parametrize("kind", ["replace", "insert", "remove", "mixed"])
+@pytest.mark.parametrize("n", [15, 20, 55, 100, 300])
+def test_recall_at_exactly_the_rate(kind, n):
+    rng = random.Random(n)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    items, texts = [], []
+    for _ in range(100):
+        item = [word() for _ in range(n)]
+        passage = list(item)
+        for at in sorted(rng.sample(range(n), n // 5), reverse=True):
+            how = rng.choice(["replace", "insert", "remove"]) if kind == "mixed" else kind
+            passage[at : at + 1] = {"replace": [word()], "insert": [word(), item[at]], "remove": []}[how]
+        items.append(" ".join(item).encode())
+        texts.append(" ".join([word() for _ in range(40)] + passage + [word() for _ in range(40)]).encode())
+    bench = dc.Benchmark(list(range(100)), items, dc.RATE, dc.RECALL)
+    found = {(t, i) for t, i, _, _ in bench.passages(texts)}
+    assert found <= {(i, i) for i in range(100)} and len(found) >= 98
+
+
 def test_blocks_nulls_and_empty_tables(spark, documents):
     schema = "item_id long, text string, row int"
     text = "one two three four five six seven eight"
