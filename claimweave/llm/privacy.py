@@ -13,7 +13,6 @@ from ..session import store_table
 from .secrets import signed
 from .texts import NO_ID, bounded_batches, text_rows, with_null_ids
 
-WINDOW = 80  # characters on either side of an entity whose words are judged
 DISCLOSURE = 0.95  # share of an entity's information that a term may give away
 MIN_DOCS = 5  # documents in which a term and an entity must meet
 FLUSH = 200_000  # distinct words that a task counts before it passes them on
@@ -25,7 +24,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
+TERM = re.compile(r"[^\W\d_]+")
 
 Span = tuple[int, int, int]
 
@@ -75,41 +74,55 @@ def fingerprint(word: str) -> int:
     return signed(xxhash.xxh64_intdigest(word))
 
 
-def nearby_terms(text: str, spans: list[Span], window: int) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) for each word within the window of an entity, outside all spans."""
-    out = []
-    for k, a, b in spans:
-        entity = fingerprint(f"{KINDS[k]}:{text[a:b]}")
-        lo, hi = max(0, a - window), min(len(text), b + window)
-        while lo and not text[lo - 1].isspace() and a - lo < 4 * window:
-            lo -= 1
-        while hi < len(text) and not text[hi].isspace() and hi - b < 4 * window:
-            hi += 1
-        for m in TERM.finditer(text, lo, hi):
-            if all(m.end() <= x or m.start() >= y for _, x, y in spans):
-                out.append((entity, fingerprint(m[0].lower()), m.start(), m.end()))
+def judged(word: str) -> bool:
+    """Words of 3 letters or more, and shorter ones that do not start with a small letter, as names do."""
+    return len(word) > 2 or not word[0].islower()
+
+
+def terms_outside(text: str, spans: list[Span]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of each judged word that no span overlaps."""
+    out, taken, k = [], sorted((a, b) for _, a, b in spans), 0
+    last = -1  # end of the spans that start before the word's end
+    for m in TERM.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            last, k = max(last, taken[k][1]), k + 1
+        if m.start() >= last and judged(m[0]):
+            out.append((m[0].lower(), m.start(), m.end()))
     return out
 
 
 SCANNED = (
     "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-    "near array<struct<entity:long,term:long,start:int,stop:int>>"
+    "entities array<long>, terms array<long>, body string"
 )
 
 
-def _scan(batches, window: int):
+def _scan(batches):
     for pdf in batches:
         out = []
         for r in pdf.itertuples(index=False):
             spans = base_spans(r.text)
             said = digest(spans)
-            near = [dict(zip(("entity", "term", "start", "stop"), x)) for x in nearby_terms(r.text, spans, window)] if spans else []
             counts = [sum(s[0] == k for s in spans) for k in range(4)]
-            out.append((r.row, r.doc_id, *counts, hashlib.sha256(said.encode()).hexdigest(), said, near))
-        names = ["row", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"]
+            entities = [fingerprint(x) for x in {f"{KINDS[k]}:{r.text[a:b]}" for k, a, b in spans}]
+            terms = [fingerprint(x) for x in {t for t, _, _ in terms_outside(r.text, spans)}] if spans else []
+            body = r.text if terms else None
+            out.append((r.row, r.doc_id, *counts, hashlib.sha256(said.encode()).hexdigest(), said, entities, terms, body))
+        names = ["row", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "entities", "terms", "body"]
         yield pd.DataFrame(out, columns=names)
 
 
+def _places(batches):
+    for pdf in batches:
+        out = []
+        for row, text, flagged in zip(pdf["row"], pdf["body"], pdf["flagged"]):
+            wanted = {int(x) for x in flagged}
+            found = terms_outside(text, base_spans(text))
+            known = {t for t in {t for t, _, _ in found} if fingerprint(t) in wanted}
+            out.append((row, ",".join(f"term:{a}:{b}" for t, a, b in found if t in known)))
+        yield pd.DataFrame(out, columns=["row", "added"])
+
+
 def _count_words(batches, most: int):
     counts: dict[str, int] = {}
 
@@ -118,7 +131,7 @@ def _count_words(batches, most: int):
 
     for pdf in batches:
         for text in pdf["text"]:
-            for w in {*TERM.findall(text.lower())}:
+            for w in {w.lower() for w in {*TERM.findall(text)} if judged(w)}:
                 counts[w] = counts.get(w, 0) + 1
             if len(counts) > most:
                 yield flushed()
@@ -132,39 +145,55 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return partial.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosing_terms(near: DataFrame, terms: DataFrame, documents: int, disclosure: float, min_docs: int) -> DataFrame:
+def met_terms(found: DataFrame, counts: DataFrame, documents: int, disclosure: float, min_docs: int) -> DataFrame:
+    """row, entity, term, n_entity, n_term: the terms of each row with an entity, whatever their distance.
+
+    Only pairs that can pass ``disclosing_terms`` are formed: they meet in at most ``n_entity`` documents, so
+    ``n_term <= n_entity * (documents / n_entity) ** (1 - disclosure)``; and a term's documents with any entity bound
+    the documents in which it meets one of them.
+    """
+    loose = 1 + 1e-9  # rounding must not lose a pair that is tested exactly later
+    spare = lambda n: F.pow(F.lit(float(documents)) / n, F.lit(1 - disclosure)) * loose
+    named = found.select("row", F.explode("entities").alias("entity"))
+    held = named.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_docs)
+    named = named.join(held, "entity")
+    terms = found.select("row", F.explode("terms").alias("term"))
+    often = terms.groupBy("term").agg(F.count("*").alias("n_with")).where(F.col("n_with") >= min_docs)
+    rare = often.join(counts, "term").where(F.col("n_term") <= F.col("n_with") * spare(F.lit(float(max(1, min_docs))))).select("term", "n_term")
+    return terms.join(rare, "term").join(named, "row").where(F.col("n_term") <= F.col("n_entity") * spare(F.col("n_entity")))
+
+
+def disclosing_terms(met: DataFrame, documents: int, disclosure: float, min_docs: int) -> DataFrame:
     """(entity, term) where the term's pointwise mutual information with the entity reaches the given share of
     the entity's own information, log2(documents / its documents)."""
-    met = near.select("row", "entity", "term").distinct()
-    pairs = met.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_docs)
-    held = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    known = met.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("both")).where(F.col("both") >= min_docs)
     total = F.lit(float(documents))
-    known = pairs.join(held, "entity").join(terms, "term")
     shared = F.log2(total * F.col("both") / (F.col("n_entity") * F.col("n_term")))
     return known.where((shared > 0) & (shared >= disclosure * F.log2(total / F.col("n_entity")))).select("entity", "term")
 
 
-def find_personal(docs: DataFrame, window: int = WINDOW, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
+def find_personal(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
     """Per row of ``docs`` (which has ``row``, ``doc_id``, ``text``): base spans, their digest, and all spans.
 
-    Words near an entity that meet it in ``min_docs`` documents or more and disclose it are spans of kind term.
-    An entity found in every document has no information to protect: no term discloses it. Null text is empty.
+    Words anywhere in an entity's documents that meet it in ``min_docs`` documents or more and disclose it are spans
+    of kind term. An entity found in every document has no information to protect: no term discloses it. Null text is
+    empty.
     """
-    found = store_table(docs.select("row", "doc_id", "text").mapInPandas(lambda b: _scan(b, window), SCANNED), "personal")
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    flagged = disclosing_terms(near, document_counts(docs), found.count(), disclosure, min_docs)
-    terms = near.join(flagged, ["entity", "term"], "left_semi").groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("terms"))
-    label = lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["stop"].cast("string"))
-    added = F.array_join(F.transform("terms", label), ",")
-    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, added))
-    return found.join(terms, "row", "left").withColumn("spans", spans)
+    found = store_table(docs.select("row", "doc_id", "text").mapInPandas(_scan, SCANNED), "personal")
+    documents = found.count()
+    met = store_table(met_terms(found, document_counts(docs), documents, disclosure, min_docs), "met")
+    flagged = disclosing_terms(met, documents, disclosure, min_docs)
+    rows = met.join(flagged, ["entity", "term"], "left_semi").groupBy("row").agg(F.collect_set("term").alias("flagged"))
+    added = found.select("row", "body").join(rows, "row").mapInPandas(_places, "row long, added string")
+    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.col("added") != "", F.col("added")))
+    return found.drop("entities", "terms", "body").join(added, "row", "left").withColumn("spans", spans)
 
 
-def personal_data(docs: DataFrame, window: int = WINDOW, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
+def personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
     """The digest of ``find_personal`` for each document; repeated rows and null ids are rows of their own."""
     rows = text_rows(docs).withColumn("row", F.monotonically_increasing_id())
     kept = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
-    return with_null_ids(find_personal(rows, window, disclosure, min_docs).select(*kept))
+    return with_null_ids(find_personal(rows, disclosure, min_docs).select(*kept))
 
 
 def _mask(batches):
@@ -181,7 +210,7 @@ def _mask(batches):
         yield pdf[["row"]].assign(masked=texts)
 
 
-def sanitise(docs: DataFrame, window: int = WINDOW, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
+def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents with every span generalised to its kind in brackets; all columns are kept, null text stays null.
 
     Overlapping spans are masked together under the kind of the first. ``n_chars`` follows the text where given.
@@ -189,7 +218,7 @@ def sanitise(docs: DataFrame, window: int = WINDOW, disclosure: float = DISCLOSU
     bounded_batches(docs.sparkSession)
     keyed = store_table(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
     rows = keyed.select(F.col("__row").alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = find_personal(rows, window, disclosure, min_docs).where("spans <> ''").select("row", "spans")
+    spans = find_personal(rows, disclosure, min_docs).where("spans <> ''").select("row", "spans")
     masked = rows.join(spans, "row").select("row", "text", "spans").mapInPandas(_mask, "row long, masked string")
     out = keyed.join(masked.withColumnRenamed("row", "__row"), "__row", "left")
     out = out.withColumn("text", F.coalesce("masked", "text"))

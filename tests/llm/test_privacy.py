@@ -58,6 +58,19 @@ def test_terms_that_disclose_an_entity_are_spans(documents):
     assert all(got[10 + i] == "" for i in range(40))
 
 
+def test_far_and_short_terms_disclose_an_entity(documents):
+    far = "some other text about words and lives " * 30
+    texts = [f"Bo {far} wizard {'x@y.zz' if i % 2 else 'merlin@example.com'} {far} kim" for i in range(12)]
+    texts = [t if i % 2 else t.replace("Bo", "Al").replace("kim", "zed") for i, t in enumerate(texts)]
+    texts[1] = f"Bo wizard kim x@y.zz {far}"  # near in one, far in the others
+    rows = list(enumerate(texts)) + [(20 + i, far) for i in range(40)]
+    got = {r["doc_id"]: r["spans"] for r in privacy.personal_data(documents(rows)).collect()}
+    for i, t in enumerate(texts):
+        terms = [s.split(":")[1:] for s in got[i].split(",") if s.startswith("term")]
+        assert {t[int(a) : int(b)] for a, b in terms} == ({"Bo", "kim"} if i % 2 else {"Al", "zed"})
+    assert all(got[20 + i] == "" for i in range(40))
+
+
 def test_sanitised_text_and_columns(documents):
     docs = documents(revealing() + [(99, None), (None, "x@y.zz")])
     out = {r["doc_id"]: r for r in privacy.sanitise(docs).collect()}
