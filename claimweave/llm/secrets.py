@@ -1,4 +1,4 @@
-"""Secret scan with corpus-wide ownership: how many owners and repositories hold a candidate."""
+"""Secret scan with corpus-wide ownership: how many owners hold a candidate."""
 
 from __future__ import annotations
 
@@ -13,7 +13,6 @@ from ..session import store_table
 from .texts import text_rows, with_null_ids
 
 MAX_OWNERS = 1
-MAX_REPOSITORIES = 3
 
 KINDS = ("assign", "access", "hex", "opaque")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -52,7 +51,7 @@ def digest(spans: list[Span]) -> str:
 
 
 SCANNED = (
-    "doc_id long, row long, owner string, repository long, n_assign long, n_access long, n_hex long, base_sha256 string, "
+    "doc_id long, row long, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, "
     "candidates array<struct<start:int,kind:int,stop:int,hash:long>>"
 )
 
@@ -69,9 +68,8 @@ def _scan(batches):
             counts = [sum(s[1] == k for s in base) for k in range(3)]
             every = sorted(base + opaque_spans(r.text, base))
             marks = [{"start": a, "kind": k, "stop": b, "hash": signed(xxhash.xxh64_intdigest(v))} for a, k, b, v in every]
-            repository = signed(xxhash.xxh64_intdigest(r.text)) if marks else 0
-            out.append((r.doc_id, r.row, r.owner, repository, *counts, hashlib.sha256(digest(base).encode()).hexdigest(), marks))
-        names = ["doc_id", "row", "owner", "repository", "n_assign", "n_access", "n_hex", "base_sha256", "candidates"]
+            out.append((r.doc_id, r.row, r.owner, *counts, hashlib.sha256(digest(base).encode()).hexdigest(), marks))
+        names = ["doc_id", "row", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "candidates"]
         yield pd.DataFrame(out, columns=names)
 
 
@@ -82,26 +80,25 @@ def candidates(docs: DataFrame, owner: str = "source") -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """hash, n_repositories, n_owners over the whole corpus.
+    """hash, n_owners over the whole corpus.
 
-    A repository is a distinct document of an owner, so copies of a document in one place count once. Each level
-    is combined before its shuffle: a secret that a third of all rows hold is a few rows by then.
+    Documents of one owner count once, be they exact copies, near copies or different. Each level is combined
+    before its shuffle: a secret that a third of all rows hold is a few rows by then.
     """
-    holders = found.select("owner", "repository", F.explode("candidates.hash").alias("hash")).distinct()
-    by_owner = holders.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("hash").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
+    holders = found.select("owner", F.explode("candidates.hash").alias("hash")).distinct()
+    return holders.groupBy("hash").agg(F.count("*").alias("n_owners"))
 
 
-def scan_secrets(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+def scan_secrets(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
     """Per document: counts and digest of the base spans, all spans, and how many candidates look live or copied.
 
-    A candidate held by more than ``max_owners`` owners or ``max_repositories`` distinct documents is a copied
-    example; others are owner-specific and look live. Opaque runs (long, letters and digits, no keyword) become
+    A candidate held by more than ``max_owners`` owners is a copied example; others are owner-specific, in however
+    many documents of the owner, and look live. Opaque runs (long, letters and digits, no keyword) become
     spans only where they look live. Null text is empty; a null owner counts as one owner without a name;
     repeated rows and null ids are kept as rows of their own.
     """
     found = store_table(candidates(docs, owner), "candidates")
-    held = ownership(found).select("hash", ((F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)).alias("copied"))
+    held = ownership(found).select("hash", (F.col("n_owners") > max_owners).alias("copied"))
     each = found.where(F.size("candidates") > 0).select("row", F.explode("candidates").alias("c"))
     judged = each.select("row", "c.*").join(held, "hash")
     per_row = judged.groupBy("row").agg(

@@ -54,5 +54,12 @@ def test_owners_and_repositories_are_counted_over_the_corpus(documents):
     assert all(got[30 + i] == [(0, 1, "")] for i in range(3))
 
 
+def test_near_copies_of_one_owner_keep_their_secret(documents):
+    rows = [(i, f"{'Zq9_' * 8} words of copy {i}", "en", "src0") for i in range(8)]
+    rows += [(20 + i, f"words {i} of others", "en", "src1") for i in range(3)]
+    got = {r["doc_id"]: (r["n_live"], r["n_copied"], r["spans"]) for r in secrets.scan_secrets(documents(rows)).collect()}
+    assert all(got[i] == (1, 0, "opaque:0:32") for i in range(8))
+
+
 def test_no_documents(documents):
     assert secrets.scan_secrets(documents([])).count() == 0
