@@ -285,7 +285,7 @@ def _(t):
 
 @query("f14_gbt_importance")
 def _(t):
-    return models.gbt_importance(line_features(t), LINE_FEATURES, "l_extendedprice", trees=5, depth=4)
+    return models.gbt_importance(line_features(t), LINE_FEATURES, "l_extendedprice")
 
 
 @query("f15_forest_score")

@@ -197,3 +197,17 @@ def test_clusters_and_period_models(frame):
     assert scored.where("pred_xox_1 is not null").count() == 20
     empty = models.period_models(frame([], "m string, setting string, times int, n double, y double"), ["m"], ["n"], "y", ["xox"])
     assert empty.count() == 0 and "pred_xox_2" in empty.columns
+
+
+def test_registered_importance_is_the_full_fit(monkeypatch):
+    from inspect import signature
+    from types import SimpleNamespace
+
+    from claimweave.plans.catalog import load_all, modelling
+
+    whole, calls = models.gbt_importance, []
+    monkeypatch.setattr(modelling, "line_features", lambda t: None)
+    monkeypatch.setattr(models, "gbt_importance", lambda *a, **k: calls.append(signature(whole).bind(*a, **k)))
+    load_all()["f14_gbt_importance"].build(SimpleNamespace())
+    calls[0].apply_defaults()
+    assert [calls[0].arguments[x] for x in ("trees", "depth", "rate")] == [500, 5, 0.1]
