@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 from .texts import LOWER, bounded_batches, chunks, joined, mix, words
 
 TRAIN_DOCS = 4000  # bound of the labelled sample
-TRAIN_CHARS = 20_000  # and of the text of each of them
 ROUNDS = 3  # relabelling rounds
 STEPS = 150
 RATE = 0.05
@@ -210,14 +209,14 @@ def train_quality(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS,
     return QualityModel(field, *fit_scale(weighted_logit(good, size, per_text), labels))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> QualityModel | None:
-    """Train on the documents of at most ``most`` labels (``doc_id``, ``quality``), drawn by a hash of the id, and the
-    first ``chars`` characters of each. Returns None where there are none.
+def fit_quality(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> QualityModel | None:
+    """Train on the documents of at most ``most`` labels (``doc_id``, ``quality``), drawn by a hash of the id among
+    those with a document, and their whole texts. Returns None where there are none.
 
-    The labels are drawn first: at most ``most`` of them are broadcast, and no other text is moved.
+    The labels are drawn first, against ids alone: at most ``most`` of them are broadcast, and no other text is moved.
     """
-    drawn = labels.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    body = F.struct(F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
+    drawn = labels.distinct().join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
+    body = F.struct(F.coalesce("text", F.lit("")).alias("text"))
     held = docs.select("doc_id", body.alias("body")).join(F.broadcast(drawn), "doc_id")
     seen = held.groupBy("doc_id", "quality").agg(F.min("body").alias("body")).orderBy("doc_id", "quality").select("body.text", "quality").toPandas()
     if seen.empty:

@@ -62,3 +62,11 @@ def test_nulls_long_lines_and_no_labels(spark, documents):
     found = quality.classify_quality(docs, labels).collect()
     assert len(found) == 42 and all(r["predicted"] == r["doc_id"] % 2 for r in found if r["doc_id"] is not None and r["doc_id"] < 40)
     assert quality.classify_quality(documents([]), labels).count() == 0
+
+
+def test_training_takes_whole_texts_of_labels_with_documents(spark, documents, monkeypatch):
+    texts, seen = ["a good line.\n" * 3000 + f"|| {i} ||" for i in range(3)], []
+    monkeypatch.setattr(quality, "train_quality", lambda t, labels: seen.extend(t))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    quality.fit_quality(documents(list(enumerate(texts))), labels, most=3)
+    assert sorted(seen) == [t.encode() for t in texts]
