@@ -18,10 +18,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates (five words, likeness 0.8).
 
-    Rows that repeat an id with the same text are one document; a row without an id is in no group and stays.
+    Rows that repeat an id with the same text are one document, with different texts documents of their own; a row
+    without an id is in no group and stays.
     """
-    first = jaccard.near_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).join(first, "doc_id", "left_semi")
+    named = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.col("text").isNull())
+    groups = jaccard.near_groups(named.select(key.alias("doc_id"), "text")).withColumnRenamed("doc_id", "key")
+    ids = named.select(key.alias("key"), "doc_id")
+    first = groups.join(ids, "key").groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("x")).select("x.key")
+    kept = named.withColumn("key", key).join(first, "key", "left_semi").select(*docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -54,3 +54,12 @@ def test_rows_that_break_rules(spark, documents):
         found = docs.collect()
         assert len(found) == (6 if rowset else 0)
         assert docs.columns == documents([]).columns
+
+
+def test_one_row_of_each_group_where_ids_repeat(spark, documents):
+    import corpus_pipeline as cp
+
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "pq")
+    rows = [(5, " ".join(a)), (5, " ".join([*a, "more"])), (5, " ".join(b)), (3, " ".join([*b, "more"]))]
+    kept = cp.one_of_each_group(spark, documents(rows), FOLDER).collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 5] and {r["text"] for r in kept} & {t for _, t in rows[:2]}
