@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, secrets, wordpiece
+from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, runs, secrets, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def _language(spark, folder):
 @query("op10_packing")
 def _packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"))
+
+
+@query("op11_periodic_runs")
+def _periodic(spark, folder):
+    docs = runs.with_planted_runs(table(spark, folder, "documents"))
+    return runs.digest(runs.periodic_runs(docs))
