@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, runs, secrets, wordpiece
+from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, runs, secrets, simhash, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def _packing(spark, folder):
 def _periodic(spark, folder):
     docs = runs.with_planted_runs(table(spark, folder, "documents"))
     return runs.digest(runs.periodic_runs(docs))
+
+
+@query("op12_simhash")
+def _simhash(spark, folder):
+    return simhash.simhash_groups(table(spark, folder, "documents"))
