@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, runs, secrets, simhash, wordpiece
+from . import conversations, decontaminate, fingerprints, jaccard, language, packing, privacy, quality, repeats, runs, secrets, simhash, wordpiece
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def _periodic(spark, folder):
 @query("op12_simhash")
 def _simhash(spark, folder):
     return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
+@query("op13_conversation_trie")
+def _trie(spark, folder):
+    return conversations.rebuilt_trie(table(spark, folder, "conversations"))
