@@ -33,7 +33,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     bounds = np.searchsorted(at, starts)
     rolled = np.zeros(len(hashes), np.uint64)
     for i in range(width):
-        rolled[: len(hashes) - i] += hashes[i:] * GAINS[i]
+        rolled[: max(0, len(hashes) - i)] += hashes[i:] * GAINS[i]
     rolled = mix(rolled)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
