@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import store_table
 from .texts import chunks, text_rows, with_null_ids
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 10
-TRAIN_DOCS = 3000  # bound of the labelled sample
+TRAIN_DOCS = 800  # of each language that are learnt from at most
+TRAIN_ALL = 16_000  # of all languages together; with many languages each has an equal part
 TRAIN_WINDOWS = 2  # windows of each of them
 EPOCHS = 6
 RATE = 0.02
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 BATCH_WINDOWS = 2048
 
 
@@ -108,21 +108,39 @@ def train(data: np.ndarray, labels: list[str], epochs: int = EPOCHS, rate: float
     return net
 
 
-def fit_language(docs: DataFrame, most: int = TRAIN_DOCS, each: int = TRAIN_WINDOWS, window: int = WINDOW) -> ByteNet | None:
-    """Train on at most ``most`` documents with a language, drawn by a hash of the text, and ``each`` windows of them.
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
-    ``docs``: text, lang. Only hashes are sorted; the windows of the drawn texts alone are moved. Returns None where
-    no labelled text has a letter.
+
+def drawn_texts(docs: DataFrame, most: int, every: int) -> DataFrame:
+    """``lang``, ``text`` of at most ``most`` different labelled texts with a letter of each language, by a hash.
+
+    The languages' counts give each a bound of the hash that leaves about twice as many as wanted; only these few
+    hashes are ranked. A language of few texts is drawn whole.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text", "lang").alias("h"))
-    last = rows.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    if last is None:
-        return None
-    size = F.greatest(F.char_length("text") - window, F.lit(0))
-    starts = [(size * k / max(1, each - 1)).cast("int") + 1 for k in range(each)]
-    cut = F.struct("lang", F.array(*[F.col("text").substr(s, F.lit(window)) for s in starts]).alias("parts"))
-    drawn = rows.where(F.col("h") <= last).select("h", cut.alias("x")).groupBy("h").agg(F.min("x").alias("x"))
-    parts = drawn.orderBy("h").select("x.lang", F.explode("x.parts").alias("part")).toPandas()
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))
+    counts = store_table(counts, "languages")
+    each = max(1, min(most, every // max(1, counts.count())))
+    # Hashes are even numbers of chances: of n texts about 2 * each lie below this share of all.
+    share = F.least(F.lit(1.0), (F.lit(2.0) * each + 20) / F.col("n"))
+    low = rows.select("lang", "h").join(counts, "lang").where(F.shiftrightunsigned("h", 11) / F.lit(float(2**53)) <= share)
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "h")
+    chosen = low.select("lang", "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("lang", "h")
+    held = rows.join(F.broadcast(chosen), ["lang", "h"])  # at most `every` pairs of a name and a number
+    return held.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "h", "text")
+
+
+def fit_language(docs: DataFrame, most: int = TRAIN_DOCS, every: int = TRAIN_ALL, each: int = TRAIN_WINDOWS, window: int = WINDOW) -> ByteNet | None:
+    """Train on at most ``most`` documents of each language and ``each`` windows of them, at hashed places of the whole text.
+
+    ``docs``: text, lang. Only hashes are ranked; the windows of the drawn texts alone are moved. Returns None where
+    no labelled text has a letter.
+    """
+    room = F.greatest(F.char_length("text") - window // 2, F.lit(1))
+    starts = [(F.pmod(F.xxhash64("h", F.lit(k)), room) + 1).cast("int") for k in range(each)]
+    cut = F.array(*[F.col("text").substr(s, F.lit(window)) for s in starts])
+    parts = drawn_texts(docs, most, every).select("lang", "h", F.posexplode(cut).alias("k", "part")).orderBy("h", "lang", "k").select("lang", "part").toPandas()
     if parts.empty:
         return None
     texts = [p.encode()[:window] for p in parts["part"]]
@@ -142,7 +160,7 @@ def _predict(batches, net: ByteNet | None, window: int):
             chance = np.exp(mean - mean.max(axis=1, keepdims=True))
             chance /= chance.sum(axis=1, keepdims=True)
             for i, k in enumerate(chance.argmax(axis=1)):
-                if LETTER.search(pdf["text"].iloc[lo + i]):
+                if has_letter(pdf["text"].iloc[lo + i]):
                     best[lo + i], score[lo + i] = net.languages[k], min(1.0, float(chance[i, k]))
         yield pdf[["doc_id", "held_out"]].assign(lang_pred=best, score=score)
 

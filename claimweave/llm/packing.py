@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 from array import array
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -248,7 +248,10 @@ def pack_pieces(
     each = held.select("shard", F.col("items.length").alias("lengths"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"))
     schema = "shard long, island int, labels array<int>, bins int"
     none = F.array().cast("array<array<int>>")
-    state = None
+    # A shard that has as few bins as its sum of lengths allows needs no further search.
+    total = F.aggregate("lengths", F.lit(0).cast("long"), lambda t, n: t + n)
+    least = each.groupBy("shard").agg(F.first(F.ceil(total / capacity)).alias("least"))
+    state, done = None, []
     for epoch in range(epochs):
         if state is None:
             start = each.withColumn("elites", none)
@@ -259,7 +262,14 @@ def pack_pieces(
             start = start.select("shard", "lengths", "island", F.array("labels", "migrant").alias("elites"))
         run = partial(_epoch, capacity=capacity, epoch=epoch, population=population, generations=generations)
         spread = start.select("shard", "island", "lengths", "elites").repartition(F.col("shard"), F.col("island"))
-        state = store_table(spread.mapInPandas(run, schema), "islands")
+        evolved = store_table(spread.mapInPandas(run, schema), "islands")
+        reached = evolved.groupBy("shard").agg(F.min("bins").alias("bins")).join(least, "shard").select("shard", (F.col("bins") <= F.col("least")).alias("met"))
+        reached = store_table(reached, "reached")
+        done.append(evolved.join(reached.where("met"), "shard", "left_semi"))
+        state = evolved.join(reached.where("not met"), "shard", "left_semi")
+        if reached.where("not met").isEmpty():
+            break
+    state = reduce(DataFrame.unionByName, [*done, state])
     best = state.groupBy("shard").agg(F.min_by("labels", F.struct("bins", "island")).alias("labels"))
     placed = held.join(best, "shard").select("shard", F.explode(F.arrays_zip("items", "labels")).alias("x"))
     placed = placed.select(

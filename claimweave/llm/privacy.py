@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import store_table
 from .secrets import signed
-from .texts import NO_ID, bounded_batches, text_rows, with_null_ids
+from .texts import NO_ID, bounded_batches, fresh, text_rows, with_null_ids
 
 DISCLOSURE = 0.95  # share of an entity's information that a term may give away
 MIN_DOCS = 5  # documents in which a term and an entity must meet
@@ -74,19 +74,14 @@ def fingerprint(word: str) -> int:
     return signed(xxhash.xxh64_intdigest(word))
 
 
-def judged(word: str) -> bool:
-    """Words of 3 letters or more, and shorter ones that do not start with a small letter, as names do."""
-    return len(word) > 2 or not word[0].islower()
-
-
 def terms_outside(text: str, spans: list[Span]) -> list[tuple[str, int, int]]:
-    """(term, start, end) of each judged word that no span overlaps."""
+    """(term, start, end) of each word that no span overlaps."""
     out, taken, k = [], sorted((a, b) for _, a, b in spans), 0
     last = -1  # end of the spans that start before the word's end
     for m in TERM.finditer(text):
         while k < len(taken) and taken[k][0] < m.end():
             last, k = max(last, taken[k][1]), k + 1
-        if m.start() >= last and judged(m[0]):
+        if m.start() >= last:
             out.append((m[0].lower(), m.start(), m.end()))
     return out
 
@@ -131,7 +126,7 @@ def _count_words(batches, most: int):
 
     for pdf in batches:
         for text in pdf["text"]:
-            for w in {w.lower() for w in {*TERM.findall(text)} if judged(w)}:
+            for w in {w.lower() for w in {*TERM.findall(text)}}:
                 counts[w] = counts.get(w, 0) + 1
             if len(counts) > most:
                 yield flushed()
@@ -216,12 +211,13 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MI
     Overlapping spans are masked together under the kind of the first. ``n_chars`` follows the text where given.
     """
     bounded_batches(docs.sparkSession)
-    keyed = store_table(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
-    rows = keyed.select(F.col("__row").alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    row, masked = fresh("row", docs.columns), fresh("masked", docs.columns)
+    keyed = store_table(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    rows = keyed.select(F.col(row).alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spans = find_personal(rows, disclosure, min_docs).where("spans <> ''").select("row", "spans")
-    masked = rows.join(spans, "row").select("row", "text", "spans").mapInPandas(_mask, "row long, masked string")
-    out = keyed.join(masked.withColumnRenamed("row", "__row"), "__row", "left")
-    out = out.withColumn("text", F.coalesce("masked", "text"))
+    found = rows.join(spans, "row").select("row", "text", "spans").mapInPandas(_mask, "row long, masked string")
+    out = keyed.join(found.withColumnsRenamed({"row": row, "masked": masked}), row, "left")
+    out = out.withColumn("text", F.coalesce(masked, "text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("masked").isNotNull(), F.char_length("masked").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(masked).isNotNull(), F.char_length(masked).cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

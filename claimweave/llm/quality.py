@@ -224,8 +224,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Q
     return train_quality([t.encode() for t in seen["text"]], (seen["quality"] > 0).to_numpy(int))
 
 
-def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """Adds ``score``, the chance of good quality of ``text``; 0.5 where nothing could be learnt. Null text is empty."""
+def score_quality(docs: DataFrame, model: QualityModel | None, out: str = "score") -> DataFrame:
+    """Adds ``out``, the chance of good quality of ``text``; 0.5 where nothing could be learnt. Null text is empty."""
 
     def score(texts: pd.Series) -> pd.Series:
         held = [t.encode() for t in texts]
@@ -235,7 +235,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
         return pd.Series(found)
 
     bounded_batches(docs.sparkSession)
-    return docs.withColumn("score", F.pandas_udf(score, "double")(F.coalesce("text", F.lit(""))))
+    return docs.withColumn(out, F.pandas_udf(score, "double")(F.coalesce("text", F.lit(""))))
 
 
 def learned_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> QualityModel | None:

@@ -24,6 +24,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that none of the columns has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Stands for a missing id within tasks, where a column with missing numbers would lose digits.
 NO_ID = -(2**63)
 

@@ -83,3 +83,18 @@ def test_lengthened_prefixes_lose_nothing(spark, documents, monkeypatch):
     monkeypatch.setattr(jaccard, "prefixes", lambda w: plain(w, cheap=1))
     got = jaccard.near_groups(documents(rows), 4, 85).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows, 4, 85)
+
+
+@pytest.mark.parametrize("width", range(1, 7))
+def test_chunks_of_few_words(width):
+    for n in range(7):
+        words = [b"w%d" % i for i in range(n)]
+        for texts in ([b" ".join(words)], [b"", b" ".join(words)], [b" ".join(words[:1]), b" ".join(words[1:])]):
+            sizes = [len(s) for s in jaccard.shingle_sets(texts, width)]
+            assert sizes == [max(0, k - width + 1) or min(k, 1) for k in (len(t.split()) for t in texts)]
+
+
+def test_short_text_ahead_of_a_long_one(documents):
+    rows = [(1, "two words"), (2, " ".join(f"w{i % 5000}" for i in range(900_000))), (3, "Two words")]
+    got = sorted(tuple(r) for r in jaccard.near_groups(documents(rows)).collect())
+    assert got == [(1, 1, 1), (2, 5000, 2), (3, 1, 1)]

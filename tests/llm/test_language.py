@@ -55,3 +55,30 @@ def test_nulls_and_nothing_to_learn(documents):
     more = documents(rows + [(i, "the and of to", "en") for i in range(10, 30)] + [(i, "der und die das", "de") for i in range(30, 60)])
     found = {r["doc_id"]: r["lang_pred"] for r in language.identify_languages(more).collect()}
     assert found[1] == found[2] == "und" and found[None] in ("en", "de")
+
+
+def test_signs_and_digits_are_no_letters(documents):
+    rows = [(1, "² ½ ¾"), (2, "Ⅷ"), (3, "ª"), (4, "中")] + [(i, "the and of to", "en") for i in range(10, 40)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify_languages(documents(rows)).collect()}
+    assert {i: got[i] for i in range(1, 5)} == {1: "und", 2: "und", 3: "en", 4: "en"}
+
+
+def test_each_language_gives_its_own_sample(documents):
+    rows = [(i, f"text number {i} in words", "en") for i in range(900)] + [(2000 + i, f"seltener text {i}", "de") for i in range(4)]
+    rows += [(3000 + i, f"texte {i}", "fr") for i in range(60)] + [(4000, "text number 1 in words", "en"), (4001, None, "en"), (4002, "77", "de")]
+    found = [tuple(r)[::2] for r in language.drawn_texts(documents(rows), 50, 1000).collect()]
+    by = {k: [t for n, t in found if n == k] for k in ("en", "de", "fr")}
+    assert {k: len(v) for k, v in by.items()} == {"en": 50, "de": 4, "fr": 50}
+    assert all(len(set(v)) == len(v) for v in by.values())
+    again = [tuple(r)[::2] for r in language.drawn_texts(documents(rows[::-1]), 50, 1000).collect()]
+    assert sorted(again) == sorted(found)
+    assert len(language.drawn_texts(documents(rows), 50, 30).collect()) == 4 + 10 + 10
+
+
+def test_windows_are_drawn_from_the_whole_text(documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "train", lambda data, labels: seen.append(bytes(data.ravel())))
+    text = "".join(f"{i:05d} a" for i in range(2000))
+    language.fit_language(documents([(1, text, "en")]), each=40)
+    places = [text.find(seen[0][i : i + 100].decode()) for i in range(0, len(seen[0]), 256)]
+    assert len(set(places)) > 30 and min(places) < 3000 and max(places) > 11_000

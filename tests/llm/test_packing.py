@@ -56,3 +56,53 @@ def test_crossover_keeps_every_item_once():
     assert sorted(i for x in child for i in x) == order
     assert all(sum(lengths[i] for i in x) <= 128 for x in child)
     assert len(set(packing.evolve(lengths, 128, 1, [], 5, 10))) <= len(b)
+
+
+def triplets(seed, bins=30):
+    """Lengths that fill bins of 1000 exactly by threes, which best fit decreasing does not find."""
+    import random
+
+    rng, out = random.Random(seed), []
+    for _ in range(bins):
+        a = rng.randint(380, 490)
+        b = rng.randint((1000 - a) // 2 - 40, (1000 - a) // 2 + 40)
+        out += [a, b, 1000 - a - b]
+    return out
+
+
+def test_search_beats_best_fit_decreasing():
+    better = 0
+    for seed in range(6):
+        lengths = triplets(seed)
+        plain = packing.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, 1000)
+        assert len(plain) > 30
+        labels = packing.evolve(lengths, 1000, seed, [], 12, 400)
+        sizes = np.bincount(labels, weights=lengths)
+        assert sizes.max() <= 1000 and len(labels) == len(lengths)
+        better += len(sizes) < len(plain)
+    assert better >= 4
+
+
+def test_islands_pass_on_their_best(spark, monkeypatch):
+    lengths = triplets(1)
+    pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "row long, piece int, length long")
+
+    def used(epochs):
+        rows = packing.pack_pieces(pieces, 1000, epochs=epochs, islands=3, population=8, generations=60).collect()
+        assert len(rows) == len(lengths)
+        return len({r["sequence_id"] for r in rows})
+
+    plain = len(packing.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, 1000))
+    assert used(6) <= used(1) <= plain and used(6) < plain
+    # An island that is given a better packing keeps it or improves on it.
+    best = packing.evolve(lengths, 1000, 1, [], 12, 400)
+    assert max(packing.evolve(lengths, 1000, 2, [best, list(range(len(lengths)))], 4, 5)) <= max(best)
+
+
+def test_shards_at_the_bound_are_not_searched_on(spark, monkeypatch):
+    made = []
+    plain = packing.store_table
+    monkeypatch.setattr(packing, "store_table", lambda df, name: made.append(name) or plain(df, name))
+    even = spark.createDataFrame([(i, 0, 500) for i in range(40)], "row long, piece int, length long")
+    assert packing.pack_pieces(even, 1000, epochs=5).select("sequence_id").distinct().count() == 20
+    assert made.count("islands") == 1

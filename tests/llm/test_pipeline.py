@@ -63,3 +63,39 @@ def test_one_row_of_each_group_where_ids_repeat(spark, documents):
     rows = [(5, " ".join(a)), (5, " ".join([*a, "more"])), (5, " ".join(b)), (3, " ".join([*b, "more"]))]
     kept = cp.one_of_each_group(spark, documents(rows), FOLDER).collect()
     assert sorted(r["doc_id"] for r in kept) == [3, 5] and {r["text"] for r in kept} & {t for _, t in rows[:2]}
+
+
+def test_columns_of_the_input_keep_their_values(spark, documents):
+    import corpus_pipeline as cp
+
+    rows = [(1, "mail a@b.cc to the office"), (2, "mail a@b.cc to the office"), (None, "x@y.zz"), (3, None)]
+    for _, stage in cp.STAGES[:4]:
+        docs = documents(rows)
+        names = [c for c in docs.columns if c not in ("text", "n_chars")]
+        before = {tuple(r) for r in docs.select(*names).collect()}
+        found = stage(spark, docs, FOLDER)
+        assert found.columns == docs.columns
+        assert {tuple(r) for r in found.select(*names).collect()} <= before
+
+
+def test_the_row_of_a_repeated_document_does_not_depend_on_order(spark):
+    import corpus_pipeline as cp
+
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, k, "x") for k in range(6)] + [(2, words + " more", 9, "y"), (None, words, 1, "z"), (3, "", 1, "a"), (3, "", 2, "a")]
+    kept = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, key int, kept_row string").repartition(3)
+        kept.append(sorted(map(tuple, cp.one_of_each_group(spark, docs, FOLDER).collect()), key=str))
+    assert kept[0] == kept[1] and [r[0] for r in kept[0]].count(1) == 1
+    assert sorted(r[0] or 0 for r in kept[0]) == [0, 1, 3]
+
+
+def test_very_long_texts_pass_all_stages(spark, documents):
+    import corpus_pipeline as cp
+
+    long = " ".join(f"plain{i % 7919} words" for i in range(60_000))
+    docs = documents([(1, long), (2, long + " a@b.cc"), (3, "short text")])
+    for _, stage in cp.STAGES[1:]:
+        docs = stage(spark, docs, FOLDER)
+    assert {r["doc_id"] for r in docs.select("doc_id").collect()} == {1, 3}

@@ -46,7 +46,7 @@ def test_base_spans_match_brute_force(documents):
 
 def revealing():
     rows = [(i, f"wizard {'abcdefgh'[i]}word lives at merlin@example.com often") for i in range(6)]
-    return rows + [(10 + i, "often some other text about lives and words") for i in range(40)]
+    return rows + [(10 + i, "often some other text about lives and words at home") for i in range(40)]
 
 
 def test_terms_that_disclose_an_entity_are_spans(documents):
@@ -71,6 +71,15 @@ def test_far_and_short_terms_disclose_an_entity(documents):
     assert all(got[20 + i] == "" for i in range(40))
 
 
+def test_short_lower_case_handles_disclose_an_entity(documents):
+    rows = [(i, f"{'abcdefghijkl'[i]}word is x y qz of merlin@example.com") for i in range(8)] + [(20 + i, "some words of x y is here") for i in range(40)]
+    got = {r["doc_id"]: r["spans"] for r in privacy.personal_data(documents(rows)).collect()}
+    for i in range(8):
+        text = rows[i][1]
+        terms = [s.split(":")[1:] for s in got[i].split(",") if s.startswith("term")]
+        assert {text[int(a) : int(b)] for a, b in terms} == {"qz"}
+
+
 def test_sanitised_text_and_columns(documents):
     docs = documents(revealing() + [(99, None), (None, "x@y.zz")])
     out = {r["doc_id"]: r for r in privacy.sanitise(docs).collect()}

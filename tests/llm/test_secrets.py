@@ -40,18 +40,45 @@ def test_base_spans_match_brute_force(documents):
     assert got[7]["spans"] == "opaque:0:32" and got[7]["n_live"] == 1
 
 
+def judged(documents, rows):
+    return {r["doc_id"]: (r["n_live"], r["n_copied"], r["spans"]) for r in secrets.scan_secrets(documents(rows)).collect()}
+
+
+def test_a_fork_does_not_make_an_example_but_fifty_owners_do(documents):
+    key = "Zq9_" * 8
+    two = [(i, f"{key} in file {i}", "en", f"owner{i % 2}") for i in range(4)]
+    many = [(100 + i, f"{key}fifty in file {i}", "en", f"user{i}") for i in range(50)]
+    filler = [(1000 + i, f"plain {i} words", "en", f"owner{i % 2}") for i in range(20)]
+    got = judged(documents, two + many + filler)
+    assert all(got[i] == (1, 0, "opaque:0:32") for i in range(4))
+    assert all(got[100 + i] == (0, 1, "") for i in range(50))
+
+
 def test_owners_and_repositories_are_counted_over_the_corpus(documents):
-    rows = [(i, f"text {i} password=sharedexample", "en", f"src{i % 2}") for i in range(6)]
-    rows += [(10 + i, f"text {i} password=ownedsecret", "en", "src0") for i in range(2)]
+    texts = ["the first file of this owner holds", "another one has", "here it stands once more in"]
+    rows = [(i, f"{t} password=ownedsecret", "en", "src0") for i, t in enumerate(texts)]
     rows += [(20 + i, "one text password=copied-in-place", "en", "src1") for i in range(9)]
-    rows += [(30 + i, f"{i} " + "Ab1-" * 9, "en", f"src{i}") for i in range(3)] + [(None, "password=ownedsecret", "en", None)]
-    got = {}
-    for r in secrets.scan_secrets(documents(rows)).collect():
-        got.setdefault(r["doc_id"], []).append((r["n_live"], r["n_copied"], r["spans"]))
-    assert all(got[i][0][:2] == (0, 1) for i in range(6))
-    assert all(got[20 + i][0][:2] == (1, 0) for i in range(9))
-    assert got[10][0][:2] == (0, 1)  # a second owner, without a name, holds it
-    assert all(got[30 + i] == [(0, 1, "")] for i in range(3))
+    rows += [(30 + i, f"mine {i} password=sharedexample", "en", f"src{i}") for i in range(5)] + [(None, "password=sharedexample", "en", None)]
+    found = secrets.candidates(documents(rows)).cache()
+    counts = {tuple(r)[1:] for r in secrets.ownership(found).collect()}
+    assert counts == {(1, 3, 4), (1, 1, 10), (6, 6, 4 + 10 + 3 + 1)}
+    got = judged(documents, rows)
+    assert all(got[i][:2] == (1, 0) for i in (0, 1, 2, 20, 28)) and all(got[i][:2] == (0, 1) for i in (30, 34, None))
+
+
+def test_a_template_of_one_owner_is_an_example(documents):
+    rows = [(i, f"file {i} {i * 7} of {i % 5} many {i * 3} has password=in-all-files", "en", "src0") for i in range(20)]
+    rows += [(50 + i, f"page {i} {i * 11} on {i % 3} words {i * 5} has password=in-few-files", "en", "src0") for i in range(7)]
+    rows += [(100 + i, f"nothing {i}", "en", "src0") for i in range(40)]
+    got = judged(documents, rows)
+    assert all(got[i][:2] == (0, 1) for i in range(20)) and all(got[50 + i][:2] == (1, 0) for i in range(7))
+
+
+def test_many_base_spans_beside_many_runs():
+    unit = "password=abcdefgh " + "Zq9_" * 8 + " "
+    text = unit * 4000
+    base = secrets.base_spans(text)
+    assert len(base) == 4000 and len(secrets.opaque_spans(text, base)) == 4000
 
 
 def test_near_copies_of_one_owner_keep_their_secret(documents):

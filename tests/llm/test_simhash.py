@@ -111,7 +111,7 @@ def test_gray_ranks_turn_one_bit_at_a_time(spark):
 def test_odd_rows(spark, documents):
     long = "many words in a row " * 30_000
     rows = [(None, "a b c d"), (1, None), (2, ""), (9, " \t"), (3, "A b C d"), (4, "a B c d"), (4, "a b c d"), (4, "other"), (5, "one"), (6, "ONE two"), (7, long), (8, long + "x"), (None, None)]
-    docs = documents(rows).withColumnsRenamed({"row": "node", "sig": "component"}).withColumn("fingerprint", simhash.F.lit(1))
+    docs = documents(rows).withColumn("fingerprint", simhash.F.lit(1))
     found = sorted((tuple(r) for r in simhash.simhash_groups(docs).collect()), key=str)
     assert found == expected(rows)
 
