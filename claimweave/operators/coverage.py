@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .joins import attach
-from .ordering import with_group_totals
 from ..config import DEFAULTS, Settings
 from ..functions import codes, dates
+from ..session import store_table
 
 GROUP = "src_rpt_cust_id"
 ACCOUNT = "src_cust_id"
@@ -40,15 +40,17 @@ def account_coverage(crosswalk: DataFrame, coverage: DataFrame) -> DataFrame:
 
 
 def continuous_span(rows: DataFrame) -> DataFrame:
-    """Coverage of a member in all accounts of a group counts as one span."""
-    return with_group_totals(
-        rows,
-        [GROUP, MEMBER],
+    """Coverage of a member in all accounts of a group counts as one span.
+
+    A member has few accounts, so one shuffle by group and member and a window do; the rows are not computed twice.
+    """
+    own = Window.partitionBy(GROUP, MEMBER)
+    return rows.withColumns(
         {
-            "cov_eff_date": F.min("cov_eff_date"),
-            "cov_end_date": F.max("cov_end_date"),
-            "subscriber_flag": F.max("subscriber_flag"),
-        },
+            "cov_eff_date": F.min("cov_eff_date").over(own),
+            "cov_end_date": F.max("cov_end_date").over(own),
+            "subscriber_flag": F.max("subscriber_flag").over(own),
+        }
     )
 
 
@@ -91,17 +93,6 @@ def quoted_members(rows: DataFrame) -> DataFrame:
     )
 
 
-def group_counts(rows: DataFrame) -> DataFrame:
-    """Total and quoted members of each group and date in one pass over the rows."""
-    begun = F.coalesce(F.col("effective_date") >= F.col("cov_eff_date"), F.lit(False))
-    once = rows.select(GROUP, "effective_date", MEMBER, "age_gender_factor", begun.alias("_begun")).distinct()
-    return once.groupBy(GROUP, "effective_date").agg(
-        F.countDistinct(MEMBER).alias("total_members"),
-        F.count(F.when(F.col("_begun"), F.col(MEMBER))).alias("quoted_members"),
-        F.avg(F.when(F.col("_begun"), F.col("age_gender_factor"))).alias("quoted_pfm_rel"),
-    )
-
-
 def with_months(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     uw = dates.underwriting_date("effective_date", settings.underwriting_lead_months)
     return rows.withColumns(
@@ -119,11 +110,50 @@ def covered_rows(
     crosswalk: DataFrame, coverage: DataFrame, person: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Eligible member rows of every group and effective date, with sex and birth date."""
-    spans = account_coverage(unique_crosswalk(crosswalk, settings), collapse_coverage(coverage, settings))
+    known = coverage.where(codes.is_present(MEMBER))
+    spans = account_coverage(unique_crosswalk(crosswalk, settings), collapse_coverage(known, settings))
     rows = eligible(continuous_span(spans), settings)
     return attach(rows, unique_persons(person, settings), [MEMBER])
 
 
+def member_spans(crosswalk: DataFrame, coverage: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row per group and member: the whole span, and the ``places`` (account and effective date) it has there.
+
+    The platform rows meet the crosswalk as they are: the first start of an account's spans is that of its rows, so
+    one aggregate replaces a collapse per account, a total per member and a join of both.
+    """
+    listed = coverage.where(F.col("src_platform_cd").isin(*settings.platforms) & codes.is_present(MEMBER))
+    rows = account_coverage(unique_crosswalk(crosswalk, settings), listed)
+    return rows.groupBy(GROUP, MEMBER).agg(
+        F.min("cov_eff_date").alias("cov_eff_date"),
+        F.max("cov_end_date").alias("cov_end_date"),
+        F.max(codes.subscriber_flag("rel_type_cd")).alias("subscriber_flag"),
+        F.collect_set(F.struct("effective_date", ACCOUNT)).alias("places"),
+    )
+
+
+def dated_members(
+    crosswalk: DataFrame, coverage: DataFrame, person: DataFrame, factors: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """One row per group, effective date and eligible member, with its ``accounts``, months and age factor."""
+    spans = member_spans(crosswalk, coverage, settings)
+    when = F.explode(F.array_distinct(F.transform("places", lambda p: p["effective_date"]))).alias("effective_date")
+    dated = eligible(spans.select("*", when), settings)
+    here = F.filter("places", lambda p: p["effective_date"] == F.col("effective_date"))
+    dated = dated.withColumn("accounts", F.transform(here, lambda p: p[ACCOUNT])).drop("places")
+    return age_factor_join(with_months(attach(dated, unique_persons(person, settings), [MEMBER]), settings), factors)
+
+
+def counts_of_groups(dated: DataFrame) -> DataFrame:
+    """Total and quoted members of each group and date: rows of ``dated_members`` are distinct members, so plain counts do."""
+    begun = F.col("effective_date") >= F.col("cov_eff_date")
+    return dated.groupBy(GROUP, "effective_date").agg(
+        F.count(MEMBER).alias("total_members"),
+        F.count(F.when(begun, F.col(MEMBER))).alias("quoted_members"),
+        F.avg(F.when(begun, F.col("age_gender_factor"))).alias("quoted_pfm_rel"),
+    )
+
+
 def member_coverage(
     crosswalk: DataFrame,
     coverage: DataFrame,
@@ -131,13 +161,19 @@ def member_coverage(
     factors: DataFrame,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    rows = age_factor_join(with_months(covered_rows(crosswalk, coverage, person, settings), settings), factors)
-    long_enough = rows.where(F.col("cov_months_medical") > settings.min_covered_months)
-    counted = attach(long_enough, group_counts(rows), [GROUP, "effective_date"])
+    """Coverage of each member and account by group and effective date.
+
+    The dated members are computed once and stored, by member: the group counts and every consumer read that table.
+    """
+    dated = dated_members(crosswalk, coverage, person, factors, settings).drop("sex_cd", "birth_date", "age", "subscriber_flag")
+    dated = store_table(dated, "dated_members")
+    counts = store_table(counts_of_groups(dated), "group_counts")
+    long_enough = dated.where(F.col("cov_months_medical") > settings.min_covered_months)
+    counted = attach(long_enough, counts, [GROUP, "effective_date"])
     return counted.select(
         GROUP,
         MEMBER,
-        ACCOUNT,
+        F.explode("accounts").alias(ACCOUNT),
         "effective_date",
         "underwriting_date",
         "cov_eff_date",

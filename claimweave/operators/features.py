@@ -218,9 +218,17 @@ def allocate_contribution(
     return joined.groupBy(*group, member, "category").agg(F.sum(impact).alias("impact"))
 
 
+MOST_ATTRIBUTES = 10_000
+
+
 def formula_from_table(attributes: DataFrame, version: str) -> str:
-    """Model formula from an attribute table: one response, numeric and categorical predictors."""
-    rows = attributes.where(F.col(version) == 1).select("Attribute", "Variable_Category", "IsChar").collect()
+    """Model formula from an attribute table: one response, numeric and categorical predictors.
+
+    A formula names columns, so more than ``MOST_ATTRIBUTES`` rows are taken for a wrong table.
+    """
+    rows = attributes.where(F.col(version) == 1).select("Attribute", "Variable_Category", "IsChar").limit(MOST_ATTRIBUTES + 1).collect()
+    if len(rows) > MOST_ATTRIBUTES:
+        raise ValueError(f"more than {MOST_ATTRIBUTES} attributes")
     response = [r.Attribute for r in rows if r.Variable_Category == "Response"]
     if len(response) != 1:
         raise ValueError("the version needs exactly one response")

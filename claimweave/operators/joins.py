@@ -123,25 +123,63 @@ def drug_by_ndc_or_procedure(lines: DataFrame, drugs: DataFrame, ndc: str, proce
     return joined.withColumns({c: F.coalesce(f"_n_{c}", f"_p_{c}") for c in columns}).drop(*helper)
 
 
+def _keyed_rules(rules: DataFrame) -> DataFrame:
+    """Rules with the key of the codes they name; rules without any code drop out."""
+    cpt, dx = F.col("cpt_signal"), F.col("dx_signal")
+    named = rules.where(cpt.isNotNull() | dx.isNotNull())
+    ways = cpt.isNotNull().cast("int") + 2 * dx.isNotNull().cast("int")
+    return named.withColumns({"_cpt": F.coalesce(cpt, F.lit("")), "_dx": F.coalesce(dx, F.lit("")), "_ways": ways})
+
+
+def _way(kind: int, procedure: Column, diagnosis: Column, carried: Column) -> Column:
+    return F.struct(F.lit(kind).alias("w"), procedure.alias("p"), diagnosis.alias("d"), carried.alias("c"))
+
+
+def _meet_rules(keyed: DataFrame, rules: DataFrame) -> DataFrame:
+    """Claims with their way to match (``_way``) and the rules of that key, in one equi join."""
+    each = keyed.select("*", F.col("_way.w").alias("_w"), F.col("_way.p").alias("_p"), F.col("_way.d").alias("_d"))
+    matched = keyed_join(each, _keyed_rules(rules), {"_w": "_ways", "_p": "_cpt", "_d": "_dx"}).drop("_w", "_p", "_d", "_ways", "_cpt", "_dx")
+    return matched.withColumns({c: F.coalesce(c, F.lit("")) for c in ("cpt_signal", "dx_signal")})
+
+
 def signal_join(claims: DataFrame, rules: DataFrame, procedure: str, diagnosis: str) -> DataFrame:
     """Claims matched to rules by both codes, or by the only code a rule names.
 
     Each claim gets a key per way to match, up to three, and meets the rules in one equi join: claims are read once.
     """
-    cpt, dx = F.col("cpt_signal"), F.col("dx_signal")
-    named = rules.where(cpt.isNotNull() | dx.isNotNull())
-    keyed = named.withColumns({"_cpt": F.coalesce(cpt, F.lit("")), "_dx": F.coalesce(dx, F.lit("")), "_ways": cpt.isNotNull().cast("int") + 2 * dx.isNotNull().cast("int")})
     p, d, none = F.col(procedure), F.col(diagnosis), F.lit("")
     ways = F.array_compact(
         F.array(
-            F.when(p.isNotNull(), F.struct(F.lit(1).alias("w"), p.alias("p"), none.alias("d"))),
-            F.when(d.isNotNull(), F.struct(F.lit(2).alias("w"), none.alias("p"), d.alias("d"))),
-            F.when(p.isNotNull() & d.isNotNull(), F.struct(F.lit(3).alias("w"), p.alias("p"), d.alias("d"))),
+            F.when(p.isNotNull(), _way(1, p, none, d)),
+            F.when(d.isNotNull(), _way(2, none, d, d)),
+            F.when(p.isNotNull() & d.isNotNull(), _way(3, p, d, d)),
         )
     )
-    each = claims.withColumn("_way", F.explode(ways)).select(*claims.columns, F.col("_way.w").alias("_w"), F.col("_way.p").alias("_p"), F.col("_way.d").alias("_d"))
-    matched = keyed_join(each, keyed, {"_w": "_ways", "_p": "_cpt", "_d": "_dx"}).drop("_w", "_p", "_d", "_ways", "_cpt", "_dx")
-    return matched.withColumns({c: F.coalesce(c, F.lit("")) for c in ("cpt_signal", "dx_signal")})
+    return _meet_rules(claims.withColumn("_way", F.explode(ways)), rules).drop("_way")
+
+
+def signal_join_any(claims: DataFrame, rules: DataFrame, procedure: str, diagnoses: Sequence[str], output: str = "diag") -> DataFrame:
+    """``signal_join`` for claims with several diagnosis columns, which become ``output``.
+
+    A claim's keys form one array, exploded once: its procedure alone once, however many diagnoses it has, and each
+    different diagnosis alone and with the procedure. ``output`` is the diagnosis that met the rule; where the rule
+    names a procedure only, null if a diagnosis column is null, else the least diagnosis.
+    """
+    p, none = F.col(procedure), F.lit("")
+    columns = [F.col(c) for c in diagnoses]
+    listed = F.array_distinct(F.array_compact(F.array(*columns)))
+    lacking = F.lit(False)
+    for c in columns:
+        lacking = lacking | c.isNull()
+    least = F.when(~lacking, F.array_min(listed))
+    alone = F.when(p.isNotNull(), F.array(_way(1, p, none, least))).otherwise(F.array())
+    single = F.transform(listed, lambda d: _way(2, none, d, d))
+    pairs = F.when(p.isNotNull(), F.transform(listed, lambda d: _way(3, p, d, d))).otherwise(F.array())
+    rest = [c for c in claims.columns if c not in diagnoses]
+    keyed = claims.select(*rest, F.explode(F.concat(alone, single, pairs)).alias("_way"))
+    return _meet_rules(keyed, rules).withColumn("_way", F.col("_way.c")).withColumnRenamed("_way", output).select(
+        *rest, output, *[c for c in rules.columns if c not in rest]
+    )
 
 
 def source_match(

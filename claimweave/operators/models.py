@@ -6,21 +6,23 @@ the steps that made them are not run again.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import PCA, RFormula, StandardScaler
+from pyspark.ml.feature import PCA, RFormula, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .features import STACKS, log_offset, rcs_terms, spline_knots, stacked_score
-from .reshape import dummy_code, levels_of
-from ..session import cut_lineage
+from .penalized import fit_path
+from .reshape import one_hot
+from ..session import cut_lineage, store_table
 
 
 def assembled(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
@@ -34,17 +36,19 @@ def rate_calibration(
     numeric: Sequence[str] = ("comm_rt", "lf_group", "aso_group"), partition: str = "train_subpartition",
     unknown: str = "U",
 ) -> DataFrame:
-    """Least squares on the training rows of known segments; returns all those rows with their rate."""
+    """Least squares on the training rows of known segments; returns all those rows with their rate.
+
+    Segments are a sparse vector by a joined index, so there may be many; those without training rows have no effect.
+    """
     known = cut_lineage(members.where(F.col(segment) != unknown))
-    levels = levels_of(known, segment)
-    coded = dummy_code(known, segment, levels, "bus_segment_", drop=False)
-    features = [*numeric, *[f"bus_segment_{v}" for v in levels]]
-    ints = coded.withColumns({c: F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in features})
-    rows = assembled(ints, features)
+    coded = one_hot(known, segment, "_segments")
+    ints = coded.withColumns({f"_n_{c}": F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in numeric})
+    rows = VectorAssembler(inputCols=[*[f"_n_{c}" for c in numeric], "_segments"], outputCol="features").transform(ints)
     model = LinearRegression(labelCol=target, predictionCol="rate_calibrated").fit(
         rows.where((F.col(partition) == "train") & F.col(target).isNotNull())
     )
-    return model.transform(rows).drop("features", *[f"bus_segment_{v}" for v in levels])
+    rated = model.transform(rows)
+    return rated.drop("features", "_segments", *[f"_n_{c}" for c in numeric])
 
 
 def calibrated_offset(groups: DataFrame, features: Sequence[str], target: str, weight: str, output: str = "offset") -> DataFrame:
@@ -56,27 +60,34 @@ def calibrated_offset(groups: DataFrame, features: Sequence[str], target: str, w
 
 def period_models(
     rows: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, settings: Sequence[str],
-    periods: Sequence[int] = (1, 2, 3), trees: int = 20, depth: int = 3, seed: int = 0,
+    periods: Sequence[int] = (1, 2, 3), trees: int = 20, depth: int = 3, seed: int = 0, at_once: int = 3,
 ) -> DataFrame:
     """One boosted-tree model per setting and period, applied where that setting has data.
 
-    ``rows``: keys, setting, times, features, target. Returns keys with pred_<setting>_<period>.
+    ``rows``: keys, setting, times, features, target. Returns keys with pred_<setting>_<period>. The rows are stored
+    by setting and period, so a fit reads its own rows only; one count tells which fits have any, and ``at_once``
+    fits are submitted side by side, as one alone leaves most of a cluster idle between its many small steps.
     """
-    ready = cut_lineage(assembled(rows, features))
-    scored = None
-    for s in settings:
-        for p in periods:
-            part = ready.where((F.col("setting") == s) & (F.col("times") == p))
-            train = part.where(F.col(target).isNotNull())
-            if train.isEmpty():
-                continue
-            model = GBTRegressor(labelCol=target, maxIter=trees, maxDepth=depth, seed=seed, predictionCol="_pred").fit(train)
-            one = model.transform(part).select(*keys, F.lit(f"pred_{s}_{p}").alias("_name"), "_pred")
-            scored = one if scored is None else scored.unionByName(one)
+    slim = assembled(rows.select(*keys, "setting", "times", *features, target), features).drop(*features)
+    ready = store_table(slim, "periods", by=["setting", "times"])
+    labelled = ready.where(F.col(target).isNotNull() & F.col("setting").isin(*settings) & F.col("times").isin(*periods))
+    some = [(r["setting"], r["times"]) for r in labelled.groupBy("setting", "times").count().collect()]
+
+    def fit(s: str, p: int) -> DataFrame:
+        part = ready.where((F.col("setting") == s) & (F.col("times") == p))
+        regressor = GBTRegressor(labelCol=target, maxIter=trees, maxDepth=depth, seed=seed, predictionCol="_pred")
+        model = regressor.fit(part.where(F.col(target).isNotNull()))
+        return model.transform(part).select(*keys, F.lit(f"pred_{s}_{p}").alias("_name"), "_pred")
+
+    spark = rows.sparkSession
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(fit), s, p) for s, p in sorted(some)]
+        scored = [w.result() for w in waiting]
     names = [f"pred_{s}_{p}" for s in settings for p in periods]
-    if scored is None:
+    if not scored:
         return ready.select(*keys).distinct().withColumns({n: F.lit(None).cast("double") for n in names})
-    return scored.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_pred"))).alias(n) for n in names])
+    stacked = reduce(DataFrame.unionByName, scored)
+    return stacked.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_pred"))).alias(n) for n in names])
 
 
 # Sources each stacked model reads.
@@ -94,14 +105,23 @@ def fit_stacked(df: DataFrame, target: str, trees: int = 20, depth: int = 3, see
 
 
 def elastic_net(
-    df: DataFrame, formula: str, alpha: float = 1.0, lam: float = 0.1, weight: str | None = None
+    df: DataFrame, formula: str, alpha: float = 1.0, lam: float = 0.1, weight: str | None = None, offset: str | None = None
 ) -> tuple[object, DataFrame]:
-    """Elastic net by formula (dummies for text columns): fitted model and rows with predictions."""
+    """Elastic net by formula (dummies for text columns): fitted model and rows with predictions.
+
+    With an ``offset`` the columns explain what it leaves of the response; predictions include it.
+    """
     regression = LinearRegression(elasticNetParam=alpha, regParam=lam, predictionCol="prediction")
     if weight:
         regression = regression.setWeightCol(weight)
-    model = Pipeline(stages=[RFormula(formula=formula), regression]).fit(df)
-    return model, model.transform(df)
+    if offset is None:
+        model = Pipeline(stages=[RFormula(formula=formula), regression]).fit(df)
+        return model, model.transform(df)
+    response, _, terms = formula.partition("~")
+    own = F.coalesce(F.col(offset).cast("double"), F.lit(0.0))
+    ready = df.withColumn("left_of_offset", F.col(response.strip()) - own)
+    model = Pipeline(stages=[RFormula(formula=f"left_of_offset ~{terms}"), regression]).fit(ready)
+    return model, model.transform(ready).withColumn("prediction", F.col("prediction") + own).drop("left_of_offset")
 
 
 def coefficient_table(spark: SparkSession, names: Sequence[str], values: Sequence[float], intercept: float | None = None) -> DataFrame:
@@ -112,69 +132,27 @@ def coefficient_table(spark: SparkSession, names: Sequence[str], values: Sequenc
 
 
 def poisson_lasso(
-    df: DataFrame, features: Sequence[str], label: str, lam: float, weight: str | None = None, rounds: int = 60, tol: float = 1e-6
-) -> tuple[float, list[float]]:
-    """L1-penalised Poisson regression with log link.
-
-    Each round solves a weighted lasso on the working response, so the whole fit is a short
-    sequence of distributed least-squares passes. A fit that has not settled after ``rounds`` is an error.
-    """
-    base = df.where(F.col(label).isNotNull()).select(
-        *features, F.col(label).cast("double").alias("_y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w")
-    )
-    ready = assembled(base, features).persist()
-    try:
-        mean = ready.agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("m")).first().m
-        intercept, coefs = math.log(mean), [0.0] * len(features)
-        for _ in range(rounds):
-            eta = F.lit(intercept)
-            for name, c in zip(features, coefs):
-                if c:
-                    eta = eta + F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.lit(c)
-            mu = F.exp(eta)
-            working = ready.withColumns({"_z": eta + (F.col("_y") - mu) / mu, "_v": F.col("_w") * mu})
-            model = LinearRegression(
-                labelCol="_z", weightCol="_v", regParam=lam, elasticNetParam=1.0, standardization=True, tol=1e-9, maxIter=200
-            ).fit(working)
-            new = [float(c) for c in model.coefficients]
-            moved = max([abs(model.intercept - intercept), *[abs(a - b) for a, b in zip(new, coefs)]])
-            intercept, coefs = float(model.intercept), new
-            if moved < tol:
-                return intercept, coefs
-    finally:
-        ready.unpersist()
-    raise RuntimeError(f"no fit within {rounds} rounds")
-
-
-def poisson_deviance(df: DataFrame, features: Sequence[str], label: str, intercept: float, coefs: Sequence[float], weight: str | None = None) -> float:
-    eta = F.lit(intercept)
-    for name, c in zip(features, coefs):
-        eta = eta + F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.lit(float(c))
-    y, mu = F.col(label).cast("double"), F.exp(eta)
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    unit = F.when(y > 0, y * F.log(y / mu)).otherwise(0.0) - (y - mu)
-    return float(df.where(y.isNotNull()).agg((2 * F.sum(w * unit) / F.sum(w)).alias("d")).first().d)
+    df: DataFrame, features: Sequence[str], label: str, lam: float, weight: str | None = None, rounds: int = 60,
+    tol: float = 1e-8, offset: str | None = None,
+) -> tuple[float, list[float]]:
+    """L1-penalised Poisson regression with log link at one penalty: intercept and coefficients."""
+    path = fit_path(df, features, label, "poisson", lambdas=[lam], weight=weight, offset=offset, rounds=rounds, tol=tol)
+    return path.intercepts[0], path.coefficients[0].tolist()
 
 
 def poisson_lasso_1se(
-    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: Sequence[int], lambdas: Sequence[float],
-    weight: str | None = None, rounds: int = 60,
-) -> dict[str, object]:
-    """Largest penalty whose mean held-out deviance is within one standard error of the best, and its fit."""
-    table = {}
-    for lam in lambdas:
-        losses = []
-        for f in folds:
-            fitted = poisson_lasso(df.where(F.col(fold) != f), features, label, lam, weight, rounds)
-            losses.append(poisson_deviance(df.where(F.col(fold) == f), features, label, *fitted, weight))
-        mean = sum(losses) / len(losses)
-        spread = (sum((x - mean) ** 2 for x in losses) / max(1, len(losses) - 1)) ** 0.5 / len(losses) ** 0.5
-        table[lam] = (mean, spread)
-    best = min(table, key=lambda l: table[l][0])
-    limit = sum(table[best])
-    chosen = max(l for l in table if table[l][0] <= limit)
-    intercept, coefs = poisson_lasso(df, features, label, chosen, weight, rounds)
-    return {"lambda_min": best, "lambda_1se": chosen, "intercept": intercept, "coefficients": dict(zip(features, coefs)), "path": table}
+    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: Sequence[int], lambdas: Sequence[float] | None = None,
+    weight: str | None = None, rounds: int = 60, offset: str | None = None,
+) -> dict[str, object]:
+    """Largest penalty whose mean held-out deviance is within one standard error of the best, and its fit.
+
+    Rows of other folds than ``folds`` train every fit.
+    """
+    held = df.withColumn("_fold", F.when(F.col(fold).isin(*folds), F.col(fold)))
+    path = fit_path(held, features, label, "poisson", lambdas=lambdas, weight=weight, offset=offset, fold="_fold", rounds=rounds)
+    intercept, coefs = path.at(path.lambda_1se)
+    table = dict(zip(path.lambdas, zip(path.deviance, path.spread)))
+    return {"lambda_min": path.lambda_min, "lambda_1se": path.lambda_1se, "intercept": intercept, "coefficients": coefs, "path": table}
 
 
 def std_coefs(df: DataFrame, coefficients: Mapping[str, float]) -> DataFrame:
@@ -194,7 +172,7 @@ def gbt_importance(
     rows = cut_lineage(assembled(df.where(F.col(label).isNotNull()).select(label, *features), features).select(label, "features"))
     model = GBTRegressor(
         labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=sampling,
-        minInstancesPerNode=min_leaf, seed=seed,
+        minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True, checkpointInterval=10,
     ).fit(rows)
     table = coefficient_table(df.sparkSession, features, model.featureImportances.toArray())
     return table.withColumnRenamed("coef", "importance").orderBy(F.col("importance").desc(), "name")
@@ -205,7 +183,7 @@ def forest_score(
 ) -> tuple[DataFrame, DataFrame]:
     """Random forest: all rows with their prediction, and the most important features."""
     rows = cut_lineage(assembled(df, features))
-    model = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(
+    model = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True, checkpointInterval=10).fit(
         rows.where(F.col(label).isNotNull())
     )
     table = coefficient_table(df.sparkSession, features, model.featureImportances.toArray())
@@ -213,6 +191,22 @@ def forest_score(
     return model.transform(rows).drop("features"), ranked
 
 
+def area_scores(
+    df: DataFrame, area: Sequence[str], features: Sequence[str], label: str, trees: int = 500, depth: int = 8, top: int = 100, seed: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """Score table of areas by a random forest: one row per area with ``area_score``, and the ``top`` features.
+
+    Rows are first brought to one per area by the means of columns and label; missing columns then take the mean of
+    the areas, as rough imputation does. An area without a label is scored, not trained on.
+    """
+    means = [F.avg(F.col(c).cast("double")).alias(c) for c in [*features, label]]
+    areas = cut_lineage(df.groupBy(*area).agg(F.count(F.lit(1)).alias("n_rows"), *means))
+    usual = areas.agg(*[F.avg(c).alias(c) for c in features]).first()
+    filled = areas.withColumns({c: F.coalesce(c, F.lit(usual[c] or 0.0)) for c in features})
+    scored, ranked = forest_score(filled, features, label, trees, depth, top, seed)
+    return scored.select(*area, "n_rows", F.col(label), F.col("prediction").alias("area_score")), ranked
+
+
 def pca_scores(
     df: DataFrame, columns: Sequence[str], components: int = 4, rank: str | None = None
 ) -> tuple[DataFrame, list[float]]:
@@ -287,13 +281,78 @@ def spline_pca(
     return ready.withColumn("pc1", score).drop("_terms"), [float(v) for v in shares]
 
 
-def cluster_rows(df: DataFrame, columns: Sequence[str], clusters: int = 10, seed: int = 0) -> DataFrame:
-    """Cluster id of each row on scaled columns, by repeated bisection."""
-    ready = cut_lineage(assembled(df, columns, "_raw"))
-    model = Pipeline(
-        stages=[
-            StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-            BisectingKMeans(k=clusters, seed=seed, featuresCol="_scaled", predictionCol="cluster"),
-        ]
-    ).fit(ready)
-    return model.transform(ready).drop("_raw", "_scaled")
+GRAIN = 1 / 64  # width of the finest cells, in standard deviations
+
+
+def clustering_features(df: DataFrame, columns: Sequence[str], most: int = 2000) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with their ``_cell``, and the features of at most ``most`` cells: ``n``, ``sums`` and ``squares`` of the
+    scaled columns. The third value is 0 where each different row is a cell of its own, else the doublings of ``GRAIN``.
+
+    Cells are counted by plain aggregates; while there are too many, neighbours merge into cells of double width, on
+    the table of cells alone.
+    """
+    filled = df.withColumns({f"_c_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
+    held = cut_lineage(filled)
+    facts = held.agg(*[F.struct(F.avg(f"_c_{c}").alias("m"), F.stddev_samp(f"_c_{c}").alias("s")).alias(c) for c in columns]).first()
+    scaled = F.array(*[(F.col(f"_c_{c}") - F.lit(facts[c].m or 0.0)) / F.lit(facts[c].s or 1.0) for c in columns])
+    places = held.withColumn("_z", scaled).drop(*[f"_c_{c}" for c in columns])
+    # Differences that are only rounding are none.
+    exact = F.transform("_z", lambda z: F.round(z * 2.0**30).cast("long"))
+    places = places.withColumn("_exact", exact)
+    sums = [F.sum(F.get("_z", F.lit(i))).alias(f"s{i}") for i in range(len(columns))]
+    squares = [F.sum(F.get("_z", F.lit(i)) ** 2).alias(f"q{i}") for i in range(len(columns))]
+    cells = store_table(places.groupBy("_exact").agg(F.count(F.lit(1)).alias("n"), *sums, *squares).withColumnRenamed("_exact", "_cell"), "cells")
+    step, width = 0, 0
+    while cells.count() > most:
+        shift = 30 - 6 if not step else 1
+        step += 1
+        width += shift
+        wider = cells.withColumn("_cell", F.transform("_cell", lambda c: F.shiftright(c, shift)))
+        again = [F.sum(c).alias(c) for c in cells.columns if c != "_cell"]
+        cells = store_table(wider.groupBy("_cell").agg(*again), "cells")
+    placed = places.withColumn("_cell", F.transform("_exact", lambda c: F.shiftright(c, width))).drop("_exact", "_z")
+    parts = range(len(columns))
+    table = cells.select("_cell", "n", F.array(*[f"s{i}" for i in parts]).alias("sums"), F.array(*[f"q{i}" for i in parts]).alias("squares"))
+    return placed, table, step
+
+
+def complete_linkage(points: np.ndarray, clusters: int) -> np.ndarray:
+    """Cluster numbers by complete linkage: always the two clusters merge whose farthest points are nearest."""
+    n = len(points)
+    square = (points**2).sum(axis=1)
+    far = np.maximum(square[:, None] + square[None, :] - 2 * points @ points.T, 0)
+    np.fill_diagonal(far, np.inf)
+    label = np.arange(n)
+    alive = np.ones(n, bool)
+    nearest, distance = far.argmin(axis=1), far.min(axis=1)
+    for _ in range(max(0, n - clusters)):
+        a = int(np.where(alive, distance, np.inf).argmin())
+        b = int(nearest[a])
+        a, b = min(a, b), max(a, b)
+        far[a] = far[:, a] = np.maximum(far[a], far[b])
+        far[a, a] = np.inf
+        far[b] = far[:, b] = np.inf
+        alive[b] = False
+        label[label == b] = a
+        # Only those whose nearest cluster was one of the two look again.
+        for i in np.flatnonzero(alive & ((nearest == a) | (nearest == b) | (np.arange(n) == a))):
+            nearest[i], distance[i] = far[i].argmin(), far[i].min()
+    return np.unique(label, return_inverse=True)[1]
+
+
+def cluster_rows(df: DataFrame, columns: Sequence[str], clusters: int = 10, most: int = 2000) -> DataFrame:
+    """Cluster number of each row, by complete linkage on scaled columns (nulls as zero).
+
+    Up to ``most`` different rows are linked as they are; of more, the centres of cells. Clusters are numbered by the
+    order of their least centre.
+    """
+    placed, table, _ = clustering_features(df, columns, most)
+    cells = table.select("_cell", F.transform("sums", lambda s: s / F.col("n")).alias("centre")).orderBy("centre").collect()
+    if not cells:
+        return placed.drop("_cell").withColumn("cluster", F.lit(None).cast("int"))
+    found = complete_linkage(np.array([c.centre for c in cells]), clusters)
+    first = {int(k): i for i, k in reversed(list(enumerate(found)))}
+    number = {k: i for i, k in enumerate(sorted(first, key=first.get))}
+    rows = [(c["_cell"], number[int(k)]) for c, k in zip(cells, found)]
+    named = df.sparkSession.createDataFrame(rows, "_at array<long>, cluster int")
+    return placed.join(named, F.col("_cell") == F.col("_at")).drop("_cell", "_at")

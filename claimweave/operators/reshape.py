@@ -5,10 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from .joins import attach
+from .ordering import ranked
 from ..functions import as_col
+from ..session import store_table
 
 
 def melt_codes(df: DataFrame, ids: Sequence[str], columns: Sequence[str], value: str = "value") -> DataFrame:
@@ -16,9 +20,16 @@ def melt_codes(df: DataFrame, ids: Sequence[str], columns: Sequence[str], value:
     return long.where(F.col(value).isNotNull()).drop("_column")
 
 
-def levels_of(df: DataFrame, column: str) -> list[str]:
-    """Distinct levels in order: for columns that get a column per level, so have few by nature."""
-    return sorted(r.l for r in df.select(F.col(column).cast("string").alias("l")).where("l is not null").distinct().collect())
+MOST_LEVELS = 10_000  # a frame of more columns is of no use
+
+
+def levels_of(df: DataFrame, column: str, most: int = MOST_LEVELS) -> list[str]:
+    """Distinct levels in order, for columns that get a column per level. More than ``most`` are an error, found
+    without bringing them all to the driver; ``one_hot`` has no such limit."""
+    found = df.select(F.col(column).cast("string").alias("l")).where("l is not null").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} levels")
+    return sorted(r.l for r in found)
 
 
 def dummy_code(df: DataFrame, column: str, levels: Sequence[str] | None = None, prefix: str | None = None, drop: bool = True) -> DataFrame:
@@ -29,6 +40,27 @@ def dummy_code(df: DataFrame, column: str, levels: Sequence[str] | None = None,
     return coded.drop(column) if drop else coded
 
 
+def level_index(df: DataFrame, column: str) -> DataFrame:
+    """``level`` and its ``index`` (from 0, in order): a stored table with a row per distinct level."""
+    levels = df.select(F.col(column).cast("string").alias("level")).where("level is not null").distinct()
+    return store_table(ranked(levels, ["level"], (), "index").withColumn("index", F.col("index") - 1), "levels")
+
+
+def one_hot(df: DataFrame, column: str, output: str, index: DataFrame | None = None) -> DataFrame:
+    """A sparse vector with a 1 at the place of the row's level; all zero for null and for levels not in ``index``.
+
+    The levels stay a table that is joined to the rows: only their number reaches the driver.
+    """
+    table = level_index(df, column) if index is None else index
+    size = table.agg(F.coalesce(F.max("index") + 1, F.lit(0)).cast("int")).first()[0]
+    coder = OneHotEncoder(inputCol="_index", outputCol=output, dropLast=False, handleInvalid="keep")
+    # The encoder only needs to know how many levels there are.
+    sizes = df.sparkSession.range(max(1, size)).select(F.col("id").cast("double").alias("_index"))
+    text = df.withColumn("_text", F.col(column).cast("string"))
+    placed = attach(text, table, {"_text": "level"}, ["index"]).withColumn("_index", F.coalesce(F.col("index").cast("double"), F.lit(float(max(1, size)))))
+    return coder.fit(sizes).transform(placed.drop("index", "_text")).drop("_index")
+
+
 def levels_to_columns(df: DataFrame, keys: Sequence[str], column: str, levels: Sequence[str], prefix: str = "") -> DataFrame:
     """One row per key with 1 where the level occurs."""
     present = [

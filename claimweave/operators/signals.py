@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .frames import exceeds_group, hide_small_cells, with_people_counts
-from .joins import attach, keyed_join, signal_join
+from .joins import attach, keyed_join, signal_join_any
 from .ordering import best_rows, ranked
 from .vendor import LINE
 from .windows import most_frequent, shares_of_group
@@ -19,15 +19,9 @@ LIKELIHOOD_MONTHS = 17
 
 
 def latest_signals(claims: DataFrame, rules: DataFrame, diagnoses: Sequence[str]) -> DataFrame:
-    """The latest claim behind every signal of a member, before underwriting.
-
-    Diagnoses are unpivoted with nulls kept, so that a claim without any still meets the rules
-    that ask for a procedure only.
-    """
+    """The latest claim behind every signal of a member, before underwriting."""
     before = claims.where(F.col("from_date") < F.col("underwriting_date"))
-    rest = [c for c in before.columns if c not in diagnoses]
-    long = before.unpivot(rest, list(diagnoses), "_column", "diag").drop("_column")
-    matched = signal_join(long, rules, "proc_cd", "diag")
+    matched = signal_join_any(before, rules, "proc_cd", diagnoses)
     order = [-F.unix_date("from_date"), F.col("claim_id"), F.col("proc_cd"), F.col("diag")]
     return best_rows(matched, [*EVENT_KEYS, "cpt_signal", "dx_signal"], order)
 

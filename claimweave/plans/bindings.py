@@ -91,6 +91,11 @@ BINDINGS: dict[str, str] = {
         (select l_orderkey, cast(sum(cast(l_extendedprice as decimal(18,
         2))) as double) as l_pred from lineitem group by l_orderkey) x on
         l_orderkey = o_orderkey""",
+    # Attributes of the line items as a model table lists them, with the model versions that use each.
+    "fx_attributes": """
+        select * from (values ('l_extendedprice', 'Response', 0, 1, 1), ('l_quantity', 'Predictor', 0, 1, 1),
+        ('l_tax', 'Predictor', 0, 1, 0), ('l_discount', 'Predictor', 0, 0, 1), ('l_returnflag', 'Predictor', 1, 0, 1))
+        as t(Attribute, Variable_Category, IsChar, in_v1, in_v2)""",
     # Vendor files: claim lines per region group, with the codes of the line itself.
     "fx_vendor_group": """
         select cast(r_regionkey as string) as group_id,

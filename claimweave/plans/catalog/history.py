@@ -6,6 +6,7 @@ from .joins import SPANS, member_rows
 from .repricing import FACT_CODES, RX_PRICED, VERTICAL, priced
 from ..fixture_settings import SETTINGS
 from ..registry import query
+from ..steps import Node, run_graph
 from ...functions import dates
 from ...operators import claims, coverage, targets
 from ...session import store_table
@@ -378,3 +379,45 @@ def _(t):
 )
 def _(t):
     return claims.rx_history(t.fx_rx_claims, member_rows(t), t.fx_ndc_price, SETTINGS)
+
+
+HISTORY_STEPS = [
+    Node("members", ("crosswalk", "coverage", "person", "age_factor"), coverage.member_coverage),
+    Node("genetic", ("icd_genetic", "cpt_genetic"), lambda icd, cpt, settings: claims.genetic_list(icd, cpt)),
+    Node("med", ("med_facts", "med_lines", "members", "ndc_price", "rev_price", "cpt_price", "genetic", "icd_map"), claims.med_history),
+    Node("rx", ("rx_facts", "members", "ndc_price"), claims.rx_history),
+    Node(
+        "out",
+        ("med", "rx"),
+        lambda med, rx, settings: med.select(*HISTORY_KEYS, F.col("med_sample").alias("sample"), "value", "ag_allow_amt").unionByName(
+            rx.select(*HISTORY_KEYS, F.col("rx_sample").alias("sample"), F.col("ndc_id").alias("value"), "ag_allow_amt")
+        ),
+    ),
+]
+HISTORY_KEYS = ["src_rpt_cust_id", "sdr_person_id", "underwriting_date", "times"]
+
+
+def history_frames(t):
+    return {
+        "crosswalk": t.fx_crosswalk, "coverage": t.fx_coverage, "person": t.fx_person, "age_factor": t.fx_age_factor,
+        "med_facts": t.fx_med_line_fact, "med_lines": t.fx_med_line, "rx_facts": t.fx_rx_claims, "ndc_price": t.fx_ndc_price,
+        "rev_price": t.fx_rev_price, "cpt_price": t.fx_cpt_price, "icd_genetic": t.fx_icd_genetic,
+        "cpt_genetic": t.fx_cpt_genetic, "icd_map": t.fx_icd_map,
+    }
+
+
+@query(
+    "k11_history_graph",
+    f"""with {FACT_CODES}, {VERTICAL}, {RX_PRICED}, {SPANS}, {MED_NEAR} --main-- select src_rpt_cust_id, sdr_person_id, underwriting_date,
+        times, med_sample as sample, value2 as value, {_floor('ag_allow_amt')} as ag_allow_amt from mv
+        group by src_rpt_cust_id, sdr_person_id, underwriting_date, times, med_sample, datatype, value2
+        union all select m.src_rpt_cust_id, r.sdr_person_id, underwriting_date,
+        {TIMES.format(d='service_date')} as times, 'r' as sample, ndc_id as value, {_floor('ag_allow_amt')} as ag_allow_amt
+        from rp r join mc m on r.sdr_person_id = m.sdr_person_id and r.src_cust_id = m.src_cust_id where member_level_incl = 1
+        and src_platform_cd in ('EM', 'LV') and {_near('', 'service_date', 'process_date',
+        'underwriting_date - interval 24 month', 'underwriting_date')} group by 1, 2, 3, 4, 5, 6""",
+    round={"ag_allow_amt": 4},
+)
+def _(t):
+    """Both histories through one graph of steps, which computes the coverage that both read once."""
+    return run_graph(history_frames(t), HISTORY_STEPS, SETTINGS, schema={"times": "int", "ag_allow_amt": "double"})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .history import ALL, MEMBER_DATA, info, target
 from ..fixture_settings import SETTINGS
 from ..registry import query
-from ...operators import features, models, targets, vendor
+from ...operators import features, models, penalized, targets, vendor
 
 PREDS = [f"pred_{s}_{i}" for s in ("ixx", "xox", "xxr") for i in (1, 2, 3)]
 
@@ -89,13 +89,12 @@ def _(t):
     return models.period_models(rows, keys, ["n", "charged", "units"], "cost", ["ixx", "xox", "xxr"])
 
 
-STACK = "(select *, " + ", ".join(
-    f"(case when pred_{s}_1 is null then 1 else 0 end + case when pred_{s}_2 is null then 1 else 0 end"
-    f" + case when pred_{s}_3 is null then 1 else 0 end) as nan_{s}" for s in ("ixx", "xox", "xxr")
-) + " from fx_member_scores) x"
-PATTERN = """case when nan_xox < 3 and nan_ixx = 3 and nan_xxr < 3 then 'op_rx' when nan_xox < 3 and nan_ixx = 3 and nan_xxr = 3
-    then 'op' when nan_xox = 3 and nan_ixx = 3 and nan_xxr < 3 then 'rx' when nan_xox < 3 and nan_ixx < 3 and nan_xxr = 3
-    then 'med' else 'ior' end"""
+# Which sources have a prediction, and the stacked model for each mix of them.
+SOURCES = ("ixx", "xox", "xxr")
+HAS = ", ".join(f"coalesce(pred_{s}_1, pred_{s}_2, pred_{s}_3) is not null as has_{s}" for s in SOURCES)
+MIXES = ", ".join(
+    "(" + ", ".join(["true" if s in src else "false" for s in SOURCES] + [f"'{n}'"]) + ")" for n, src in models.STACKS.items()
+)
 SUMS = {
     n: " + ".join(f"coalesce(pred_{s}_{i}, 0)" for s in src for i in (1, 2, 3)) for n, src in models.STACKS.items()
 }
@@ -103,9 +102,11 @@ SUMS = {
 
 @query(
     "f05_stacked_score",
-    f"select group_id, member_id, pattern, case pattern "
+    f"""with facts as (select *, {HAS} from fx_member_scores), mixes as (select * from (values {MIXES}) v(m_ixx, m_xox, m_xxr, pattern)),
+      named as (select facts.*, coalesce(mixes.pattern, 'ior') as pattern from facts left join mixes on has_ixx = m_ixx and has_xox = m_xox
+      and has_xxr = m_xxr) --main-- select group_id, member_id, pattern, case pattern """
     + " ".join(f"when '{n}' then {s}" for n, s in SUMS.items())
-    + f" end as score from (select *, {PATTERN} as pattern from {STACK}) y",
+    + " end as score from named",
     round={"score": 6},
 )
 def _(t):
@@ -253,6 +254,137 @@ def line_features(t):
     return joined.select("l_orderkey", "l_returnflag", "l_extendedprice", *LINE_FEATURES)
 
 
+N_LAMBDAS = 8
+NET_ALPHA = 0.6
+STEPS = "(select range as k from range(" + str(N_LAMBDAS) + ")) st"
+
+# One column: every fit has a closed form, the soft threshold of its weighted covariance.
+NET_ROWS = """
+    nr as (select o_orderkey, cast(count(*) as double) as x, max(o_totalprice) / 1000.0 as y, cast(max(o_custkey % 3) + 1 as double) as w,
+      cast(max(o_custkey % 7) as double) as o, cast(max(o_custkey % 4) as int) as f from lineitem join orders on l_orderkey = o_orderkey group by 1),
+    nf as (select distinct f as held from nr union all select -1),
+    nm as (select held, sum(w) as n, sum(w * x) / sum(w) as mx, sum(w * (y - o)) / sum(w) as my from nf, nr where f <> held group by 1),
+    nc as (select nm.held, any_value(n) as n, any_value(mx) as mx, any_value(my) as my, sum(w * (x - mx) * (y - o - my)) / any_value(n) as c,
+      sqrt(sum(w * (x - mx) * (x - mx)) / any_value(n)) as sd from nm, nr where f <> nm.held group by 1),
+    nl as (select k, (select abs(c) / (sd * {alpha}) from nc where held = -1) * pow(0.01, k / {last}) as lam from {steps}),
+    nb as (select held, k, lam, mx, my, sign(c) * greatest(abs(c) / sd - {alpha} * lam, 0) / (1 + (1 - {alpha}) * lam) / sd as b from nc, nl),
+    nd as (select held, k, sum(w) as wf, sum(w * (y - o - my - b * (x - mx)) * (y - o - my - b * (x - mx))) / sum(w) as d
+      from nb join nr on f = held group by 1, 2),
+    nv as (select k, sum(wf * d) / sum(wf) as mid from nd group by 1),
+    ns as (select nv.k, any_value(mid) as deviance, sqrt(sum(wf * (d - mid) * (d - mid)) / sum(wf) / (count(*) - 1)) as spread from nv join nd on nv.k = nd.k group by 1)
+""".format(alpha=NET_ALPHA, last=float(N_LAMBDAS - 1), steps=STEPS)
+CHOSEN = """deviance = (select min(deviance) from {t}) as is_min, lam = (select max(lam) from {t} where deviance <= (select arg_min(deviance + spread, deviance)
+    from {t})) as is_1se"""
+
+
+def cv_rows(t, path, names):
+    """A row per penalty: coefficients by name, deviance, spread and the choices."""
+    coefs = path.table(t.spark).groupBy("lam").pivot("name", ["(intercept)", *names]).agg(F.first("coef"))
+    coefs = coefs.withColumnRenamed("(intercept)", "intercept")
+    return coefs.join(path.cv_table(t.spark).drop("n_nonzero"), "lam")
+
+
+@query(
+    "f12_net_path",
+    f"""with {NET_ROWS}, nt as (select lam, my - b * mx as intercept, b as x, deviance, spread from nb join ns on nb.k = ns.k where held = -1)
+        --main-- select *, {CHOSEN.format(t="nt")} from nt""",
+    round={"lam": 7, "intercept": 6, "x": 6, "deviance": 4, "spread": 4},
+)
+def _(t):
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey").agg(
+        F.count("*").alias("x"), (F.max("o_totalprice") / 1000).alias("y"), (F.max(F.col("o_custkey") % 3) + 1).alias("w"),
+        F.max(F.col("o_custkey") % 7).alias("o"), F.max(F.col("o_custkey") % 4).alias("f"),
+    )
+    path = penalized.fit_path(
+        rows, ["x"], "y", alpha=NET_ALPHA, n_lambdas=N_LAMBDAS, ratio=0.01, weight="w", offset="o", fold="f"
+    )
+    return cv_rows(t, path, ["x"])
+
+
+# One column of 0 and 1: the penalised Poisson means of both sides are their weighted sums, drawn together by the penalty.
+POISSON_ROWS = """
+    pr as (select c_custkey, case when any_value(c_nationkey) % 2 = 0 then 1 else 0 end as x, cast(count(o_orderkey) as double) as y,
+      cast(c_custkey % 3 + 1 as double) as w, ln(1.0 + c_custkey % 5) as o, cast(c_custkey % 4 as int) as f
+      from customer left join orders on o_custkey = c_custkey group by c_custkey),
+    pf as (select distinct f as held from pr union all select -1),
+    ps as (select held, sum(case when x = 0 then w else 0 end) as w0, sum(case when x = 1 then w else 0 end) as w1,
+      sum(case when x = 0 then w * y else 0 end) as s0, sum(case when x = 1 then w * y else 0 end) as s1,
+      sum(case when x = 0 then w * exp(o) else 0 end) as e0, sum(case when x = 1 then w * exp(o) else 0 end) as e1
+      from pf, pr where f <> held group by 1),
+    pg as (select *, s1 - e1 * (s0 + s1) / (e0 + e1) as g, sqrt(w0 * w1) as nsd from ps),
+    pl as (select k, (select abs(g) / nsd from pg where held = -1) * pow(0.01, k / {last}) as lam from {steps}),
+    pm as (select held, k, lam, case when abs(g) <= lam * nsd * (1 + 1e-12) then (s0 + s1) / (e0 + e1) else (s0 + lam * nsd * sign(g)) / e0 end as m0,
+      case when abs(g) <= lam * nsd * (1 + 1e-12) then (s0 + s1) / (e0 + e1) else (s1 - lam * nsd * sign(g)) / e1 end as m1 from pg, pl),
+    pd as (select held, k, sum(w) as wf, 2 * sum(w * (case when y > 0 then y * ln(y / (exp(o) * m)) else 0 end - y + exp(o) * m)) / sum(w) as d
+      from (select pm.held, k, w, y, o, case when x = 1 then m1 else m0 end as m from pm join pr on f = held) z group by 1, 2),
+    pv as (select k, sum(wf * d) / sum(wf) as mid from pd group by 1),
+    pe as (select pv.k, any_value(mid) as deviance, sqrt(sum(wf * (d - mid) * (d - mid)) / sum(wf) / (count(*) - 1)) as spread from pv join pd on pv.k = pd.k group by 1)
+""".format(last=float(N_LAMBDAS - 1), steps=STEPS)
+
+
+def poisson_counts(t):
+    """Orders of each customer, with weight, offset and fold."""
+    counts = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey").agg(
+        F.count("o_orderkey").alias("y"), F.first("c_nationkey").alias("nation"), F.first("c_acctbal").alias("acctbal"),
+        F.coalesce(F.avg("o_totalprice"), F.lit(0.0)).alias("price"),
+    )
+    key = F.col("c_custkey")
+    return counts.withColumns(
+        {"x": F.when(F.col("nation") % 2 == 0, 1).otherwise(0), "w": key % 3 + 1, "o": F.log(1.0 + key % 5), "f": key % 4,
+         "balance": F.col("acctbal") / 1e3, "price": F.col("price") / 1e5, "zone": F.col("nation") % 5}
+    )
+
+
+@query(
+    "f12_poisson_path",
+    f"""with {POISSON_ROWS}, pt as (select lam, ln(m0) as intercept, ln(m1 / m0) as x, deviance, spread from pm join pe on pm.k = pe.k where held = -1)
+        --main-- select *, {CHOSEN.format(t="pt")} from pt""",
+    round={"lam": 7, "intercept": 6, "x": 6, "deviance": 6, "spread": 6},
+)
+def _(t):
+    path = penalized.fit_path(poisson_counts(t), ["x"], "y", "poisson", n_lambdas=N_LAMBDAS, ratio=0.01, weight="w", offset="o", fold="f")
+    return cv_rows(t, path, ["x"])
+
+
+COUNT_FEATURES = ["price", "balance", "zone", "x"]
+
+
+def poisson_1se(t):
+    return penalized.fit_path(poisson_counts(t), COUNT_FEATURES, "y", "poisson", weight="w", offset="o", fold="f")
+
+
+@query("f12_poisson_1se")
+def _(t):
+    """The Poisson lasso of the 1-SE penalty out of 100, four folds."""
+    path = poisson_1se(t)
+    return path.table(t.spark).where(F.col("lam") == path.lambda_1se).select("name", "coef")
+
+
+@query(
+    "f12_poisson_1se_optimal",
+    " union all ".join(f"select '{n}' as name, true as optimal" for n in ["(intercept)", *COUNT_FEATURES]),
+)
+def _(t):
+    """Whether the 1-SE fit is a minimum: each column's gradient over all rows meets its penalty, or stays below it at zero."""
+    path = poisson_1se(t)
+    lam = path.lambda_1se
+    coefs = path.at(lam)[1]
+    scored = penalized.predicted(poisson_counts(t), path, lam, "o")
+    w = F.col("w").cast("double")
+    left = w * (F.col("y") - F.col("prediction"))
+    means = {n: F.sum(w * F.col(n)) / F.sum(w) for n in COUNT_FEATURES}
+    facts = [F.sum(w).alias("n"), F.sum(left).alias("g_intercept"), *[F.sum(left * F.col(n)).alias(f"g_{n}") for n in COUNT_FEATURES]]
+    facts += [(F.sum(w * F.col(n) ** 2) / F.sum(w) - m**2).alias(f"v_{n}") for n, m in means.items()]
+    one = scored.agg(*facts)
+    close = F.col("n") * 1e-6
+    rows = [F.struct(F.lit("(intercept)").alias("name"), (F.abs("g_intercept") < close).alias("optimal"))]
+    for n, c in coefs.items():
+        limit = F.lit(lam) * F.col("n") * F.sqrt(f"v_{n}")
+        met = F.abs(F.col(f"g_{n}") - limit * (1 if c > 0 else -1)) < close if c else F.abs(f"g_{n}") <= limit + close
+        rows.append(F.struct(F.lit(n).alias("name"), met.alias("optimal")))
+    return one.select(F.inline(F.array(*rows)))
+
+
 @query("f12_elastic_net")
 def _(t):
     formula = "l_extendedprice ~ l_quantity + p_size + p_retailprice + l_returnflag"
@@ -320,26 +452,19 @@ def _(t):
     return models.cluster_rows(line_features(t), LINE_FEATURES, 10).select("l_orderkey", "cluster")
 
 
+@query("f18_cluster_sizes", "select cast(10 as bigint) as clusters, count(*) as n, cast(0 as int) as first, cast(9 as int) as last from lineitem")
+def _(t):
+    """All rows are in one of ten clusters, each of which has rows."""
+    found = models.cluster_rows(line_features(t), LINE_FEATURES, 10)
+    return found.agg(F.countDistinct("cluster").alias("clusters"), F.count("cluster").alias("n"), F.min("cluster").alias("first"), F.max("cluster").alias("last"))
+
+
 @query(
     "f19_formula_from_table",
     """select l_orderkey, l_linenumber, l_quantity as x1, l_tax as x2, l_extendedprice as label from lineitem""",
 )
 def _(t):
-    attributes = t.lineitem.limit(1).select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("Attribute"), F.lit(c).alias("Variable_Category"), F.lit(s).alias("IsChar"),
-                             F.lit(v).alias("in_v1"))
-                    for a, c, s, v in (
-                        ("l_extendedprice", "Response", 0, 1), ("l_quantity", "Predictor", 0, 1), ("l_tax", "Predictor", 0, 1),
-                        ("l_returnflag", "Predictor", 1, 0),
-                    )
-                ]
-            )
-        ).alias("a")
-    ).select("a.*")
-    formula = features.formula_from_table(attributes, "in_v1")
+    formula = features.formula_from_table(t.fx_attributes, "in_v1")
     coded = RFormula(formula=formula).fit(t.lineitem).transform(t.lineitem)
     return coded.select(
         "l_orderkey", "l_linenumber", *[vector_to_array("features")[i].alias(f"x{i + 1}") for i in range(2)], "label"

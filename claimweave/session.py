@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +62,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}/{name}"
+    """A new path in this application's scratch folder, which is removed when its driver ends."""
+    context = spark.sparkContext
+    root = f"{shared_dir(spark).rstrip('/')}/scratch/{context.applicationId}"
+    place = context._jvm.org.apache.hadoop.fs.Path(root)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return f"{root}/{uuid.uuid4().hex}/{name}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -69,12 +76,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store_table(df: DataFrame, name: str = "table") -> DataFrame:
+def store_table(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> DataFrame:
     """Write an intermediate result once to the shared folder and read it back.
 
     Used where several consumers would each run the same scans and joins again. Being columnar,
-    the stored table lets every consumer read only the columns it needs.
+    the stored table lets every consumer read only the columns it needs; ``by`` lays it out in
+    folders, so that a consumer of one value reads no other.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write = df.write.partitionBy(*by) if by else df.write
+    write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Plan nodes that only read rows: reading such a frame twice costs less than storing it.
+READING = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "OneRowRelation", "Range"}
+
+
+def only_reads(df: DataFrame) -> bool:
+    """Whether the frame is a scan with filters and columns, nothing joined, aggregated, sorted or generated."""
+    tree = df._jdf.queryExecution().optimizedPlan().treeString()
+    return {m[1] for m in re.finditer(r"^[\s:+\-]*(\w+)", tree, re.M)} <= READING
+
+
+def computed_once(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The frame as it is where reading it again is cheap, else stored, for use by several consumers."""
+    return df if only_reads(df) else store_table(df, name)
