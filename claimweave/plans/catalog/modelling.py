@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .history import ALL, MEMBER_DATA, info, target
 from ..fixture_settings import SETTINGS
 from ..registry import query
-from ...operators import features, models, penalized, targets, vendor
+from ...operators import features, models, ordering, penalized, targets, vendor
 
 PREDS = [f"pred_{s}_{i}" for s in ("ixx", "xox", "xxr") for i in (1, 2, 3)]
 
@@ -24,6 +24,19 @@ def _(t):
     return fitted.select("src_rpt_cust_id", "sdr_person_id", "underwriting_date", "bus_segment_cd", "rate_calibrated")
 
 
+@query(
+    "f01_rate_of_training_cells",
+    ALL + f"""select src_rpt_cust_id, sdr_person_id, underwriting_date, avg(mbr_mth_ag_cmpl_allow) over (partition by bus_segment_cd, comm_rt,
+    lf_group, aso_group) as rate_calibrated from ({MEMBER_DATA}) md where bus_segment_cd <> 'U' and train_subpartition = 'train'""",
+    round={"rate_calibrated": 2},
+)
+def _(t):
+    """The training groups have a level of their own each, so least squares gives them the mean of their members."""
+    members = targets.member_data(target(t), info(t))
+    fitted = models.rate_calibration(members, "mbr_mth_ag_cmpl_allow").where("train_subpartition = 'train'")
+    return fitted.select("src_rpt_cust_id", "sdr_person_id", "underwriting_date", "rate_calibrated")
+
+
 @query(
     "f02_apply_linear_rate",
     ALL + f"""select src_rpt_cust_id, sdr_person_id, underwriting_date, 310.5 + 12.25 * comm_rt - 7.5 * lf_group
@@ -89,6 +102,28 @@ def _(t):
     return models.period_models(rows, keys, ["n", "charged", "units"], "cost", ["ixx", "xox", "xxr"])
 
 
+FLAGS = ("A", "N", "R")
+
+
+@query(
+    "f04_period_cells",
+    "select count(distinct l_orderkey) as n, "
+    + ", ".join(
+        f"count(distinct case when l_returnflag = '{s}' and l_linenumber % 3 + 1 = {p} then l_orderkey end) as pred_{s}_{p}"
+        for s in FLAGS for p in (1, 2, 3)
+    )
+    + " from lineitem",
+)
+def _(t):
+    """Each key has a prediction of exactly the settings and periods in which it has rows."""
+    rows = t.lineitem.select(
+        "l_orderkey", F.col("l_returnflag").alias("setting"), (F.col("l_linenumber") % 3 + 1).cast("int").alias("times"),
+        "l_quantity", "l_tax", "l_extendedprice",
+    )
+    found = models.period_models(rows, ["l_orderkey"], ["l_quantity", "l_tax"], "l_extendedprice", FLAGS, trees=2)
+    return found.agg(F.count("*").alias("n"), *[F.count(f"pred_{s}_{p}").alias(f"pred_{s}_{p}") for s in FLAGS for p in (1, 2, 3)])
+
+
 # Which sources have a prediction, and the stacked model for each mix of them.
 SOURCES = ("ixx", "xox", "xxr")
 HAS = ", ".join(f"coalesce(pred_{s}_1, pred_{s}_2, pred_{s}_3) is not null as has_{s}" for s in SOURCES)
@@ -126,6 +161,20 @@ def _(t):
     return models.fit_stacked(rows, "cost").select("group_id", "member_id", "pattern", "score")
 
 
+@query(
+    "f05_stacked_patterns",
+    f"""with facts as (select *, {HAS} from fx_member_scores), mixes as (select * from (values {MIXES}) v(m_ixx, m_xox, m_xxr, pattern))
+      --main-- select coalesce(mixes.pattern, 'ior') as pattern, count(*) as n, count(*) as scored from facts
+      join (select distinct o_custkey from orders) o on member_id = cast(o_custkey as varchar)
+      left join mixes on has_ixx = m_ixx and has_xox = m_xox and has_xxr = m_xxr group by 1""",
+)
+def _(t):
+    """Every member is scored by the model of its mix of sources."""
+    cost = t.orders.groupBy(F.col("o_custkey").cast("string").alias("member_id")).agg(F.sum("o_totalprice").alias("cost"))
+    scored = models.fit_stacked(t.fx_member_scores.join(cost, "member_id"), "cost", trees=2)
+    return scored.groupBy("pattern").agg(F.count("*").alias("n"), F.count("score").alias("scored"))
+
+
 GROUP_SQL = """
     gq as (select c_nationkey as k, cast(count(*) as double) as w, avg(c_acctbal) / 1000 as x, avg(o_totalprice) / 100 as y
       from orders join customer on o_custkey = c_custkey group by 1),
@@ -392,6 +441,14 @@ def _(t):
     return scored.select("l_orderkey", "l_extendedprice", "prediction")
 
 
+@query("f12_elastic_net_mean", "select avg(l_extendedprice) as mean_prediction, count(*) as n from lineitem", round={"mean_prediction": 1})
+def _(t):
+    """The intercept is free, so a fit's predictions have the mean of the response."""
+    formula = "l_extendedprice ~ l_quantity + p_size + p_retailprice + l_returnflag"
+    _, scored = models.elastic_net(line_features(t), formula, alpha=1.0, lam=50.0)
+    return scored.agg(F.avg("prediction").alias("mean_prediction"), F.count("prediction").alias("n"))
+
+
 @query("f12_poisson_lasso")
 def _(t):
     counts = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("price"))
@@ -420,25 +477,108 @@ def _(t):
     return models.gbt_importance(line_features(t), LINE_FEATURES, "l_extendedprice")
 
 
+def deep_importance(t):
+    """The second setting: few deep trees with large leaves and a low rate."""
+    return models.gbt_importance(line_features(t), LINE_FEATURES, "l_extendedprice", trees=5, depth=10, rate=0.01, min_leaf=1000)
+
+
+@query("f14_gbt_importance_deep")
+def _(t):
+    return deep_importance(t)
+
+
+@query(
+    "f14_importance_shares",
+    "select cast(6 as bigint) as features, 1.0 as total, count(*) >= 2000 as split from lineitem",
+    round={"total": 6},
+)
+def _(t):
+    """Importances are shares of all features; with two large leaves' worth of rows the first feature splits them."""
+    found = deep_importance(t)
+    return found.agg(F.countDistinct("name").alias("features"), F.sum("importance").alias("total"), (F.max("importance") > 0).alias("split"))
+
+
 @query("f15_forest_score")
 def _(t):
     scored, _ = models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice")
     return scored.select("l_orderkey", "l_extendedprice", "prediction")
 
 
+@query(
+    "f15_forest_range",
+    "select count(*) as n, min(l_extendedprice) as low, max(l_extendedprice) as high, true as within from lineitem",
+    round={"low": 4, "high": 4},
+)
+def _(t):
+    """A forest's predictions are means of responses: one for each row, all within their range."""
+    scored, _ = models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice", trees=10)
+    facts = scored.agg(
+        F.count("prediction").alias("n"), F.min("l_extendedprice").alias("low"), F.max("l_extendedprice").alias("high"),
+        F.min("prediction").alias("_a"), F.max("prediction").alias("_b"),
+    )
+    within = (F.col("_a") >= F.col("low") - 1e-6) & (F.col("_b") <= F.col("high") + 1e-6)
+    return facts.withColumn("within", within).drop("_a", "_b")
+
+
 @query("f15_forest_importance")
 def _(t):
     return models.forest_score(line_features(t), LINE_FEATURES, "l_extendedprice")[1]
 
 
+AREA = ["c_nationkey", "c_mktsegment"]
+
+
+def area_rows(t):
+    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        *AREA, "c_acctbal", (F.year("o_orderdate") - 1992).alias("year"), F.dayofyear("o_orderdate").alias("day"), "o_totalprice"
+    )
+
+
+@query("f15_area_importance")
+def _(t):
+    return models.area_scores(area_rows(t), AREA, ["c_acctbal", "year", "day"], "o_totalprice")[1]
+
+
+@query(
+    "f15_area_scores",
+    """select c_nationkey, c_mktsegment, count(*) as n_rows, avg(o_totalprice) as o_totalprice, true as scored from orders
+       join customer on o_custkey = c_custkey group by 1, 2""",
+    round={"o_totalprice": 4},
+)
+def _(t):
+    """The score table of areas: one row each, the score within the range of the areas' means."""
+    scored, _ = models.area_scores(area_rows(t), AREA, ["c_acctbal", "year", "day"], "o_totalprice", trees=50)
+    within = F.col("area_score").between(F.col("low") - 1e-6, F.col("high") + 1e-6)
+    held = ordering.with_grand_totals(scored, {"low": F.min("o_totalprice"), "high": F.max("o_totalprice")})
+    return held.select(*AREA, "n_rows", "o_totalprice", within.alias("scored"))
+
+
 @query("f16_pca_scores")
 def _(t):
     scored, _ = models.pca_scores(line_features(t), LINE_FEATURES, 4, rank="p_size")
     return scored.select("l_orderkey", "pc1", "pc2", "pc3", "pc4")
 
 
-@query("f17_spline_pca")
+@query(
+    "f16_pca_moments",
+    "select count(*) as n, (count(*) - 1) * 6.0 as squares, 0.0 as cross_1_2, 0.0 as cross_2_3 from lineitem",
+    round={"squares": 2, "cross_1_2": 6, "cross_2_3": 6},
+)
+def _(t):
+    """All components of six scaled columns keep their sum of squares, and no two go together."""
+    scored, _ = models.pca_scores(line_features(t), LINE_FEATURES, 6)
+    squares = sum(F.sum(F.col(f"pc{i}") ** 2) for i in range(1, 7))
+    return scored.agg(F.count("*").alias("n"), squares.alias("squares"), F.corr("pc1", "pc2").alias("cross_1_2"), F.corr("pc2", "pc3").alias("cross_2_3"))
+
+
+@query("f17_spline_pca_mean", "select count(*) as n, 0.0 as mean_score, true as varies from customer", round={"mean_score": 6})
 def _(t):
+    """Component scores of all rows, about zero."""
+    found = spline_scores(t)
+    return found.agg(F.count("pc1").alias("n"), F.avg("pc1").alias("mean_score"), (F.stddev_samp("pc1") > 0.1).alias("varies"))
+
+
+def spline_scores(t):
     rows = t.customer.join(
         t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"), F.count("*").alias("n")),
         F.col("c_custkey") == F.col("o_custkey"), "left",
@@ -447,6 +587,11 @@ def _(t):
     return scored.select("c_custkey", "pc1")
 
 
+@query("f17_spline_pca")
+def _(t):
+    return spline_scores(t)
+
+
 @query("f18_cluster_rows")
 def _(t):
     return models.cluster_rows(line_features(t), LINE_FEATURES, 10).select("l_orderkey", "cluster")

@@ -139,6 +139,18 @@ def _(t):
     return vendor.debit_summary(debited(t), vendor.LINE)
 
 
+@query(
+    "a12_debit_override",
+    f"""with {LINES}, dg as (select group_id, member_id, underwriting_date, times, setting, drug_name, max(debits) as mx, count(*) as n,
+        sum(coalesce(charged, 0)) as spent from qc where debits is not null group by 1, 2, 3, 4, 5, 6) --main-- select group_id, member_id,
+        underwriting_date, times, setting, 2500.0 as debit_cost from dg group by 1, 2, 3, 4, 5 having {COST} > sum(spent)""",
+    round={"debit_cost": 6},
+)
+def _(t):
+    """A constant takes the place of debit costs above what was charged."""
+    return vendor.debit_summary(debited(t), vendor.LINE, F.coalesce("charged", F.lit(0.0)), override=2500.0)
+
+
 @query("a12_debit_by_code", f"with {LINES}, {MED_DEBIT} --main-- select * from dc", round={"debit_cost": 6})
 def _(t):
     return med_debit(t)

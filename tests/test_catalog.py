@@ -19,6 +19,11 @@ def duck():
     return connect(FOLDER)
 
 
+@pytest.fixture(scope="module")
+def larger_duck():
+    return connect(LARGER)
+
+
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query_matches_check(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
@@ -27,6 +32,18 @@ def test_query_matches_check(spark, duck, name):
     assert found == table([d[0] for d in result.description], result.fetchall())
 
 
+LARGER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no larger tables")
+@pytest.mark.parametrize("name", sorted(n for n in CHECKS if re.match(r"[mw]\d\d_", n)))
+def test_metrics_and_curves_on_more_rows(spark, larger_duck, name):
+    """Ties and exact sums that the smallest tables do not have."""
+    df = entry.queries()[name](spark, LARGER)
+    result = larger_duck.execute(CHECKS[name])
+    assert table(df.columns, [tuple(r) for r in df.collect()]) == table([d[0] for d in result.description], result.fetchall())
+
+
 def test_flagship_runs(spark):
     assert entry.entry(spark).count() >= 0
 
