@@ -201,7 +201,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, fir
     found = store_table(texts.where(F.col("n_bytes") >= length).select("key", "text").mapInPandas(lambda b: _contexts(b, length, gram), CONTEXTS), "contexts")
     often = found.groupBy("anchor").count().where("count > 1").select("anchor")
     orders = texts.groupBy("key", "n_bytes").agg(F.min("order_id").alias("order_id"))
-    shared = found.join(often, "anchor").distinct().join(orders, ["key", "n_bytes"])
+    # Texts met in several tasks are told apart last: that way the join by anchors stands alone, and a hot anchor is split.
+    shared = found.join(often, "anchor").join(orders, ["key", "n_bytes"]).distinct()
     shared = store_table(shared, "shared")
     place = F.struct("order_id", "key", "first")
     kinds = shared.groupBy("anchor", "context").agg(F.count("*").alias("copies"), F.min(place).alias("least"))
