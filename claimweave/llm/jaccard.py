@@ -21,7 +21,7 @@ WIDTH = 5
 PERCENT = 80
 STRETCH = 60  # percent of the plain prefix by which the window is longer
 CHEAP = 32  # candidates that a document may meet before its prefix is lengthened
-HEAD = 256  # elements of a set that a row carries where pairs are formed
+WORDS = 8  # of 64 bits, in a sketch of a set
 KEPT_SETS = 1_000_000  # sets that a task remembers to send the elements of equal sets once
 
 GAINS = np.random.default_rng(11).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -127,16 +127,22 @@ def _alike(n: Column, m: Column, percent: int) -> Column:
     return (100 * n >= percent * m) & (100 * m >= percent * n)
 
 
-def shared_heads(full: DataFrame) -> DataFrame:
-    """``sig``, ``lonely`` (elements that no other one of these sets has), ``head`` (its least ``HEAD`` other elements)
-    and ``whole`` (whether these are all of them)."""
+def sketches(full: DataFrame) -> DataFrame:
+    """``sig``, ``lonely`` (elements that no other one of these sets has) and ``odd``: for each of 512 classes of the
+    other elements, a bit that tells whether the set has an odd number of them."""
     items = full.select("sig", F.explode("items").alias("item"))
     single = items.groupBy("item").agg(F.count("*").alias("df"), F.min("sig").alias("sig")).where("df = 1")
     own = single.groupBy("sig").agg(F.collect_list("item").alias("own"))
     shared = F.array_except("items", F.coalesce("own", F.array().cast("array<long>")))
-    both = full.join(own, "sig", "left").select("sig", F.size("items").alias("n"), F.array_sort(shared).alias("shared"))
-    size = F.size("shared")
-    return both.select("sig", (F.col("n") - size).cast("long").alias("lonely"), F.slice("shared", 1, HEAD).alias("head"), (size <= HEAD).alias("whole"))
+    both = full.join(own, "sig", "left").select("sig", F.size("items").alias("n"), shared.alias("shared"))
+    zero = F.lit(0).cast("long")
+
+    def word(k: int) -> Column:
+        bit = lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(63).cast("int"))
+        mine = F.filter("shared", lambda e: F.shiftrightunsigned(e, 6).bitwiseAND(7) == k)
+        return F.aggregate(mine, zero, lambda t, e: t.bitwiseXOR(bit(e)))
+
+    return both.select("sig", (F.col("n") - F.size("shared")).cast("long").alias("lonely"), F.struct(*[word(k).alias(f"w{k}") for k in range(WORDS)]).alias("odd"))
 
 
 def _may_be_alike(a: str, b: str, percent: int) -> Column:
@@ -150,13 +156,10 @@ def _may_be_alike(a: str, b: str, percent: int) -> Column:
     return _alike(n, m, percent) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def _heads_may_be_alike(a: str, b: str, percent: int) -> Column:
-    """The likeness is still possible by the elements up to where both heads reach: there it is known what the sets
-    share. It is exact where the heads are whole."""
-    end = F.least(*[F.when(~F.col(f"{s}.whole"), F.element_at(f"{s}.head", -1)) for s in (a, b)])
-    known = [F.when(end.isNull(), F.col(f"{s}.head")).otherwise(F.filter(f"{s}.head", lambda e: e <= end)) for s in (a, b)]
-    common = F.size(F.array_intersect(*known))
-    differ = F.col(f"{a}.lonely") + F.col(f"{b}.lonely") + F.size(known[0]) + F.size(known[1]) - 2 * common
+def _sketches_may_be_alike(a: str, b: str, percent: int) -> Column:
+    """Each element that one set has and the other has not turns one bit, so the bits that differ bound their number."""
+    turned = [F.bit_count(F.col(f"{a}.odd.w{k}").bitwiseXOR(F.col(f"{b}.odd.w{k}"))) for k in range(WORDS)]
+    differ = sum(turned, F.col(f"{a}.lonely") + F.col(f"{b}.lonely"))
     return (100 + percent) * differ <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
@@ -174,7 +177,7 @@ def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return _enough(own.join(hubs, "token").where((F.col("x.sig") != F.col("y.sig")) & _may_be_alike("x", "y", percent)))
 
 
-def cross_pairs(rows: DataFrame, heads: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(rows: DataFrame, odd: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs that are not in one component yet; elements met in one component alone are left out first."""
     known = rows.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
@@ -185,14 +188,13 @@ def cross_pairs(rows: DataFrame, heads: DataFrame, parts: DataFrame, percent: in
     possible = (F.col("x.component") != F.col("y.component")) & _may_be_alike("x", "y", percent)
     left = slim.join(other, (F.col("token") == F.col("met")) & possible, "left_semi")
     left = left.groupBy("x").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-    left = left.join(heads.drop("lonely"), F.col("x.sig") == F.col("sig"))
-    open_rows = store_table(left.select(F.struct("x.*", "tokens", "head", "whole").alias("x"), F.explode("tokens").alias("token")), "possible")
+    left = left.join(odd.select("sig", "odd"), F.col("x.sig") == F.col("sig"))
+    open_rows = store_table(left.select(F.struct("x.*", "tokens", "odd").alias("x"), F.explode("tokens").alias("token")), "possible")
     met = open_rows.join(open_rows.withColumnRenamed("x", "y"), "token")
     common = F.array_intersect("x.tokens", "y.tokens")
     # Of all elements that a pair shares, it is formed at the first.
     first = (F.get(common, F.lit(0)) == F.col("token")) & (F.size(common) >= F.least("x.j", "y.j"))
-    # The heads come last: they are compared once for a pair.
-    allowed = _may_be_alike("x", "y", percent) & first & _heads_may_be_alike("x", "y", percent)
+    allowed = _may_be_alike("x", "y", percent) & _sketches_may_be_alike("x", "y", percent) & first
     pairs = met.where((F.col("x.component") < F.col("y.component")) & allowed)
     return pairs.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
 
@@ -224,10 +226,10 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, str
     nodes = rows.select("sig").distinct()
     sample = sets.join(nodes, "sig").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     full = store_table(texts.join(sample, "doc_id").mapInPandas(lambda b: _full(b, width), "sig long, items array<long>").dropDuplicates(["sig"]), "full")
-    heads = store_table(shared_heads(full), "heads")
-    rows = store_table(rows.join(heads.select("sig", "lonely"), "sig"), "rows")
+    odd = store_table(sketches(full), "sketches")
+    rows = store_table(rows.join(odd.select("sig", "lonely"), "sig"), "rows")
     links = store_table(verified(hub_pairs(rows, percent), full, percent), "links")
-    rest = verified(cross_pairs(rows, heads, components(links), percent), full, percent)
+    rest = verified(cross_pairs(rows, odd, components(links), percent), full, percent)
     parts = components(links.unionByName(rest))
     first = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     labelled = first.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
