@@ -7,7 +7,7 @@ from .vendor import DIAGS, DX_SQL, LINES, MED_DEBIT, RX_SQL, debited, lines, pro
 from ..fixture_settings import SETTINGS
 from ..registry import query
 from ...functions import dates
-from ...operators import signals, summaries, vendor, words
+from ...operators import joins, signals, summaries, vendor, words
 from ...session import store_table
 
 MONTHLY = [f"l_{i}" for i in range(17)]
@@ -105,7 +105,7 @@ def _(t):
     keys = ["claim_id", "from_date", "effective_date", "proc_cd"]
     long = claims.select(*keys, *DIAGS).unpivot(keys, DIAGS, "c", "diag").drop("c")
     since = dates.calendar_month_diff("from_date", "effective_date")
-    rows = signals.signal_join(long, rules(t), "proc_cd", "diag").withColumn("s", since)
+    rows = joins.signal_join(long, rules(t), "proc_cd", "diag").withColumn("s", since)
     return rows.select(
         "claim_id", "event", "signal", "diag",
         signals.plan_likelihood("s", MONTHLY, "l_tail").alias("whole"),
