@@ -66,3 +66,24 @@ def test_no_pairing_joins(spark, name):
     df = entry.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_shuffles_start_with_partitions_for_the_stored_input(spark, tmp_path, monkeypatch):
+    from claimweave import session
+    from claimweave.plans.bindings import Inputs
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(20000).selectExpr("id as o_orderkey", "uuid() as o_comment").write.parquet(f"{tmp_path}/orders.parquet")
+    session.tune(spark)
+    stored = session.stored_bytes(Inputs(spark, str(tmp_path)).orders)
+    assert stored > 100_000 and spark.conf.get(name, None) is None
+    monkeypatch.setattr(session, "PARTITION_BYTES", stored // 40)
+    try:
+        rows = Inputs(spark, str(tmp_path)).orders.repartition("o_orderkey")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+        assert int(spark.conf.get(name)) >= 40 and rows.rdd.getNumPartitions() >= 40
+    finally:
+        spark.conf.unset(name)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+        session.tune(spark)
