@@ -210,3 +210,11 @@ def test_scratch_is_named_for_the_application(spark):
     from claimweave.session import scratch_path
 
     assert scratch_path(spark, "x").startswith(f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}/")
+
+
+def test_clustered_rows_are_not_dealt_out(spark):
+    """Nearly all rows differ, so neither the cells nor the cluster numbers may send them through a shuffle."""
+    columns = ["a", "b", "c"]
+    rows = spark.range(20000).select(*[F.rand(i).alias(c) for i, c in enumerate(columns)])
+    plan = models.cluster_rows(rows, columns, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
