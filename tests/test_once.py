@@ -218,3 +218,15 @@ def test_clustered_rows_are_not_dealt_out(spark):
     rows = spark.range(20000).select(*[F.rand(i).alias(c) for i, c in enumerate(columns)])
     plan = models.cluster_rows(rows, columns, 4)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_trees_keep_no_node_ids_per_row(frame, monkeypatch):
+    """A row's node in every tree, stored anew for each level, is larger than the row itself."""
+    made = []
+    for name in ("GBTRegressor", "RandomForestRegressor"):
+        whole = getattr(models, name)
+        monkeypatch.setattr(models, name, lambda *a, whole=whole, **k: made.append(whole(*a, **k)) or made[-1])
+    df = frame([(float(i % 7), float(i % 3), float(i)) for i in range(60)], "a double, b double, y double")
+    assert models.gbt_importance(df, ["a", "b"], "y", trees=2).count() == 2
+    assert models.forest_score(df, ["a", "b"], "y", trees=2)[0].count() == 60
+    assert len(made) == 2 and not any(m.getCacheNodeIds() for m in made)
