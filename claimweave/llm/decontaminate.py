@@ -26,6 +26,7 @@ PIECE = 16  # words of a piece at most
 STEPS = 1.6  # of the walk, for each word
 RATIO = 1.15  # of the largest to the smallest piece of one window size
 TRIALS, WALKS = 400, 60  # of edited pieces for each kind of edit, and of each of them, when rounds are measured
+SIDE_BY_SIDE = 1 << 17  # words of stretches whose edits are counted at once
 BLOCK_ITEMS = 4000  # items that a task holds at once; more are matched block by block
 
 CLEAN = LOWER.copy()
@@ -106,16 +107,24 @@ def repeats(n: int, steps: int, rate: float = RATE, recall: float = RECALL) -> i
     return most
 
 
+def edit_distances(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest word edits from each item (a row of words) to any stretch of its text (the same row, 0 behind its end),
+    and where the best stretch ends.
+
+    A stretch that reaches behind the end is never nearer than the one that stops there.
+    """
+    steps = np.arange(texts.shape[1] + 1, dtype=np.int32)
+    row = np.zeros((len(texts), len(steps)), np.int32)
+    for i in range(items.shape[1]):
+        new = np.full_like(row, i + 1)
+        np.minimum(row[:, 1:] + 1, row[:, :-1] + (texts != items[:, i, None]), out=new[:, 1:])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+    return row.min(axis=1), row.argmin(axis=1)
+
+
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Fewest word edits from the item to any stretch of the text, and where the best stretch ends."""
-    n = len(text)
-    row, steps = np.zeros(n + 1, np.int64), np.arange(n + 1)
-    for i, w in enumerate(item, 1):
-        best = np.minimum(row[1:] + 1, row[:-1] + (text != w))
-        new = np.concatenate([[i], best])
-        row = np.minimum.accumulate(new - steps) + steps
-    end = int(row.argmin())
-    return int(row[end]), end
+    edits, end = edit_distances(item[None], text[None])
+    return int(edits[0]), int(end[0])
 
 
 @dataclass
@@ -209,13 +218,28 @@ class Benchmark:
         lo = np.maximum(bounds[text], mark * half - allowed - 1)
         hi = np.minimum(bounds[text + 1], (mark + 1) * half + n + allowed + 1)
         # The stretch must keep enough word pairs for the whole item, too.
-        for k in np.flatnonzero(total[hi] - total[lo] >= n - 1 - 2 * allowed).tolist():
-            edits, _ = edit_distance(self.words[item[k]], hashes[lo[k] : hi[k]])
+        kept = np.flatnonzero(total[hi] - total[lo] >= n - 1 - 2 * allowed)
+        for k, edits in zip(kept.tolist(), self.edits(item[kept], hashes, lo[kept], hi[kept]).tolist()):
             word = max(0, int(first[k] - bounds[text[k]]))
             if edits <= allowed[k] and (edits, word) < best.get((int(text[k]), int(item[k])), (int(n[k]) + 1, 0)):
                 best[int(text[k]), int(item[k])] = (edits, word)
         return [(t, i, e, w) for (t, i), (e, w) in sorted(best.items())]
 
+    def edits(self, item: np.ndarray, hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Fewest edits of each item in its stretch of words; items of one length are tested side by side."""
+        out = np.empty(len(item), np.int64)
+        sizes, wide = self.sizes[item], hi - lo
+        order = np.lexsort((wide, sizes))
+        while len(order):
+            n = sizes[order[0]]
+            same = order[: np.searchsorted(sizes[order], n, side="right")]
+            same = same[: max(1, SIDE_BY_SIDE // int(wide[same].max()))]
+            order = order[len(same) :]
+            at = lo[same, None] + np.arange(wide[same].max())
+            texts = np.where(at < hi[same, None], hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
+            out[same] = edit_distances(np.stack([self.words[i] for i in item[same]]), texts)[0]
+        return out
+
     def hits(self, c: SizeClass, hashes: np.ndarray, begin: np.ndarray, stops: np.ndarray):
         """For each round: windows and the pieces with the same key."""
         for r, (known, pieces) in enumerate(c.keys):

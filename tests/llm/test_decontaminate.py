@@ -95,3 +95,16 @@ def test_blocks_nulls_and_empty_tables(spark, documents):
     assert blocks == 5
     assert dc.contaminated(docs, spark.createDataFrame([], schema)).count() == 0
     assert dc.contaminated(documents([]), bench).count() == 0
+
+
+def test_edits_counted_side_by_side_are_those_of_each_alone(monkeypatch):
+    monkeypatch.setattr(dc, "SIDE_BY_SIDE", 40)  # several groups
+    texts = [b"a b c d e f", b"x a b q d e f g", b"a", b"c d c d c d c d"]
+    block = dc.Benchmark([1, 2, 3], [b"a b c d e f", b"c d", b"b c d e x f"], 0.2, 0.9)
+    data, starts = dc.joined(texts)
+    at, _, hashes = dc.words(data)
+    bounds = np.searchsorted(at, starts)
+    item, text = (x.ravel() for x in np.meshgrid(np.arange(3), np.arange(len(texts))))
+    found = block.edits(item, hashes, bounds[text], bounds[text + 1])
+    assert found.tolist() == [dc.edit_distance(block.words[i], hashes[bounds[t] : bounds[t + 1]])[0] for i, t in zip(item, text)]
+    assert found[:3].tolist() == [0, 0, 1] and block.edits(item[:0], hashes, item[:0], item[:0]).tolist() == []
