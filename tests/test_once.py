@@ -212,11 +212,19 @@ def test_scratch_is_named_for_the_application(spark):
     assert scratch_path(spark, "x").startswith(f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}/")
 
 
-def test_clustered_rows_are_not_dealt_out(spark):
-    """Nearly all rows differ, so neither the cells nor the cluster numbers may send them through a shuffle."""
+def test_different_rows_are_not_cells_of_their_own(spark, monkeypatch):
+    """Nearly all rows differ, so cells of different rows would be a table as long as the rows."""
+    stored, store = [], models.store_table
+
+    def counted(df, name="table", by=()):
+        stored.append((name, (out := store(df, name, by)).count()))
+        return out
+
+    monkeypatch.setattr(models, "store_table", counted)
     columns = ["a", "b", "c"]
     rows = spark.range(20000).select(*[F.rand(i).alias(c) for i, c in enumerate(columns)])
-    plan = models.cluster_rows(rows, columns, 4)._jdf.queryExecution().executedPlan().toString()
+    plan = models.cluster_rows(rows, columns, 4, most=200)._jdf.queryExecution().executedPlan().toString()
+    assert all(n <= 200 for name, n in stored if name == "cells")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
