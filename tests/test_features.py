@@ -211,3 +211,37 @@ def test_registered_importance_is_the_full_fit(monkeypatch):
     load_all()["f14_gbt_importance"].build(SimpleNamespace())
     calls[0].apply_defaults()
     assert [calls[0].arguments[x] for x in ("trees", "depth", "rate")] == [500, 5, 0.1]
+
+
+def test_tree_fits_read_even_shares(spark, tmp_path, monkeypatch):
+    """A file of one row group would be one task's work; all rows are trained on, equal ones and nulls too."""
+    path = str(tmp_path / "rows")
+    spark.range(40_000).selectExpr("id % 5000 as a", "if(id % 7 = 0, null, id % 3) as b", "double(id % 11) as y").coalesce(1).write.parquet(path)
+    rows, seen = spark.read.parquet(path), []
+    for kind in (models.GBTRegressor, models.RandomForestRegressor):
+        fit = kind.fit
+
+        def counted(self, df, fit=fit):
+            seen.append([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()])
+            return fit(self, df)
+
+        monkeypatch.setattr(kind, "fit", counted)
+    models.gbt_importance(rows, ["a", "b"], "y", trees=1, depth=2)
+    scored, _ = models.forest_score(rows.withColumn("y", F.expr("if(a < 100, null, y)")), ["a", "b"], "y", trees=2, depth=2)
+    cores = spark.sparkContext.defaultParallelism
+    assert [sum(s) for s in seen] == [40_000, 39_200]
+    assert all(len(s) >= cores and max(s) <= 1.1 * sum(s) / cores for s in seen)
+    assert scored.columns == ["a", "b", "y", "prediction"] and scored.count() == 40_000
+    assert scored.exceptAll(scored.where("prediction is not null")).isEmpty()
+
+
+def test_spread_rows_keeps_small_tables_and_bounds_a_share(spark, monkeypatch):
+    monkeypatch.setattr(models, "WHOLE", 100)
+    small = spark.range(100)
+    assert models.spread_rows(small) is small
+    monkeypatch.setattr(models, "SHARE", 50)
+    cores = spark.sparkContext.defaultParallelism
+    # Files this small are read together, so their number is looked at, not the partitions.
+    spread = models.spread_rows(spark.range(0, cores * 120, 1, 1))
+    files = [r["count"] for r in spread.groupBy(F.input_file_name()).count().collect()]
+    assert len(files) == cores * 3 and max(files) <= 50 and sum(files) == cores * 120
