@@ -215,6 +215,7 @@ def test_registered_importance_is_the_full_fit(monkeypatch):
 
 def test_tree_fits_read_even_shares(spark, tmp_path, monkeypatch):
     """A file of one row group would be one task's work; all rows are trained on, equal ones and nulls too."""
+    monkeypatch.setattr(models, "WHOLE", 1_000, raising=False)
     path = str(tmp_path / "rows")
     spark.range(40_000).selectExpr("id % 5000 as a", "if(id % 7 = 0, null, id % 3) as b", "double(id % 11) as y").coalesce(1).write.parquet(path)
     rows, seen = spark.read.parquet(path), []
