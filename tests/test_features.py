@@ -236,6 +236,23 @@ def test_tree_fits_read_even_shares(spark, tmp_path, monkeypatch):
     assert scored.exceptAll(scored.where("prediction is not null")).isEmpty()
 
 
+def test_boosted_trees_read_a_file_a_task(spark, monkeypatch):
+    """Small files, put together, would make a task's rows several times the share."""
+    monkeypatch.setattr(models, "WHOLE", 1_000)
+    monkeypatch.setattr(models, "SHARE", 1_000)
+    fit, seen = models.GBTRegressor.fit, []
+    name = "spark.sql.files.openCostInBytes"
+
+    def counted(self, df):
+        seen.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return fit(self, df)
+
+    monkeypatch.setattr(models.GBTRegressor, "fit", counted)
+    usual = spark.conf.get(name)
+    models.gbt_importance(spark.range(20_000).selectExpr("id % 100 as a", "double(id % 7) as y"), ["a"], "y", trees=1, depth=1)
+    assert sum(seen) == 20_000 and max(seen) <= 1_000 and spark.conf.get(name) == usual
+
+
 def test_spread_rows_keeps_small_tables_and_bounds_a_share(spark, monkeypatch):
     monkeypatch.setattr(models, "WHOLE", 100)
     small = spark.range(100)
