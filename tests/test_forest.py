@@ -48,6 +48,16 @@ def test_deep_trees_end_at_means_of_equal_rows(spark):
     assert (one.feature == 0).all() and np.allclose(one.value, 7) and (one.importances() == 0).all()
 
 
+def test_sums_of_a_task_are_bounded(spark, monkeypatch):
+    """Two features, one offered: a tree's sums at the second level are 1,024 bytes, so three trees take two scans of it."""
+    monkeypatch.setattr(forest, "SUMS", 2_048)
+    scan, seen = forest.level_splits, []
+    monkeypatch.setattr(forest, "level_splits", lambda *a: seen.append((a[2], a[6])) or scan(*a))
+    df = spark.range(1_000).selectExpr("id % 8 as a", "id % 8 as b", "id % 8 * 1.0 as y")
+    grown = forest.grow(df, ["a", "b"], "y", trees=3, depth=2)
+    assert seen == [(0, [0, 1, 2]), (1, [0, 1]), (1, [2])] and (grown.gain[:, :3] > 0).all()
+
+
 def test_numbers_that_are_not_finite_are_refused(spark):
     df = spark.range(50).selectExpr("double(id) as a", "if(id = 3, double('NaN'), double(id)) as y")
     with pytest.raises(ValueError, match="finite"):
@@ -71,7 +81,9 @@ def test_splits_of_a_level_match_brute_force(spark, rows, monkeypatch):
     grown.feature[:, 0], grown.cut[:, 0] = [0, 1], [12, 0]
     offered = np.array([[[0, 2], [1, 3]], [[2, 0], [3, 1]]])
     alive = np.array([[True, True], [True, False]])
-    found = {(r["tree"], r["node"]): r for r in forest.level_splits(blocks, grown, 1, offered, alive, 5).collect()}
+    found = {(r["tree"], r["node"]): r for r in forest.level_splits(blocks, grown, 1, offered, alive, 5, [0, 1]).collect()}
+    apart = [r for t in (0, 1) for r in forest.level_splits(blocks, grown, 1, offered, alive, 5, [t]).collect()]
+    assert {(r["tree"], r["node"]): (r["feature"], r["cut"]) for r in apart} == {at: (r["feature"], r["cut"]) for at, r in found.items()}
     assert sorted(found) == [(0, 1), (0, 2), (1, 1), (1, 2)] and found[1, 2]["feature"] is None
     y = np.concatenate([np.frombuffer(r["y"]) for r in held])
     bins = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(4, -1) for r in held], axis=1)
