@@ -58,6 +58,19 @@ def test_sums_of_a_task_are_bounded(spark, monkeypatch):
     assert seen == [(0, [0, 1, 2]), (1, [0, 1]), (1, [2])] and (grown.gain[:, :3] > 0).all()
 
 
+def test_quantiles_are_merged_from_few_tasks(spark, monkeypatch):
+    cut, seen = forest.cut_points, []
+    monkeypatch.setattr(forest, "cut_points", lambda rows, names: seen.append(rows.rdd.getNumPartitions()) or cut(rows, names))
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 4_000, 1, 3 * cores).selectExpr("id as a", "id * 2.0 as y")
+    grown = forest.grow(df, ["a"], "y", trees=1, depth=1)
+    monkeypatch.setattr(forest, "SHARE", -(-2_000 // cores))
+    again = forest.grow(df, ["a"], "y", trees=1, depth=1)
+    assert seen == [cores, 2 * cores]
+    for f in (grown, again):
+        assert np.allclose(f.cuts[0], np.arange(1, 32) * 125, atol=2)
+
+
 def test_numbers_that_are_not_finite_are_refused(spark):
     df = spark.range(50).selectExpr("double(id) as a", "if(id = 3, double('NaN'), double(id)) as y")
     with pytest.raises(ValueError, match="finite"):
